@@ -11,28 +11,29 @@ gives no rows. Extra columns are ignored, and ``lang`` is read of training rows
 
 from __future__ import annotations
 
-import bisect
-import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Documented bounds of the fitted sample: rows a language, and n-grams kept a language.
+#: Documented bound of the fitted sample: rows a language.
 SAMPLE_A_LANGUAGE = 1500
-GRAMS_A_LANGUAGE = 40_000
-GRAM_LENGTHS = (1, 2, 3)
+#: Letter pairs and triples are counted in so many buckets; a model takes this many floats a language.
+BUCKETS = 1 << 17
 SWITCH_PENALTY = 6.0
 SCRIPT_SHARE = 0.01
 NO_SCRIPT_SCORE = -30.0
-#: Words whose scores are kept a worker, and words of a padded block; memory bounds without effect on results.
-MAX_WORDS = 300_000
+#: Words (and their characters) whose scores are kept a worker, words labelled at once, and numbers of a padded
+#: block: memory bounds without effect on results.
+MAX_WORDS = 400_000
 MAX_CHARS = 1 << 24
-CELLS = 1 << 20
+WORDS_AT_ONCE = 1 << 20
+CELLS = 1 << 22
 
 #: First code point of a range and the script from there on.
 SCRIPT_RANGES = [
@@ -42,20 +43,46 @@ SCRIPT_RANGES = [
     (0x2C60, "Latin"), (0x2C80, "Other"), (0x3040, "Kana"), (0x3100, "Other"), (0x3400, "Han"), (0xA000, "Other"), (0xA720, "Latin"),
     (0xA800, "Other"), (0xAC00, "Hangul"), (0xD7B0, "Other"), (0xF900, "Han"), (0xFB00, "Other"), (0x20000, "Han"), (0x323B0, "Other"),
 ]
-_STARTS = [start for start, _ in SCRIPT_RANGES]
+SCRIPTS = sorted({name for _, name in SCRIPT_RANGES})
+_STARTS = np.array([start for start, _ in SCRIPT_RANGES])
+_NUMBERS = np.array([SCRIPTS.index(name) for _, name in SCRIPT_RANGES])
+BREAK = 10  # between words; no word holds it
 
 
-def script_of(letter: str) -> str:
-    return SCRIPT_RANGES[bisect.bisect_right(_STARTS, ord(letter)) - 1][1]
+def scripts_of(points: np.ndarray) -> np.ndarray:
+    """Number in SCRIPTS of each code point's script."""
+    return _NUMBERS[np.searchsorted(_STARTS, points, side="right") - 1]
 
 
-def letters_of(word: str) -> str:
-    return "".join(filter(str.isalpha, word.lower()))
+@lru_cache(maxsize=1)
+def _letters() -> np.ndarray:
+    """For each code point, whether it is a letter."""
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
-def grams_of(letters: str) -> list[str]:
-    padded = f"^{letters}$"
-    return [padded[i : i + n] for n in GRAM_LENGTHS for i in range(len(padded) - n + 1) if n > 1 or 0 < i < len(padded) - 1]
+class Spelled(NamedTuple):
+    """Words as letters: for each letter its word, script and the buckets of the pair and triple that it ends and centres."""
+
+    word: np.ndarray
+    script: np.ndarray
+    pair: np.ndarray
+    triple: np.ndarray
+
+
+def spell(words: list[str]) -> Spelled:
+    """Lower-case letters of the words; other characters don't count, a word's edges do."""
+    joined = ("\n" + "\n".join(words) + "\n").lower().encode("utf-32-le", "surrogatepass")
+    points = np.frombuffer(joined, "<u4")
+    ends = points == BREAK
+    keep = _letters()[points] | ends
+    word = (np.cumsum(ends) - 1)[keep]
+    c = points[keep]
+    at = np.flatnonzero(c != BREAK)
+    a, b, d = (x.astype(np.uint64) for x in (c[at - 1], c[at], c[at + 1]))
+    pair = (a * np.uint64(0x9E3779B1) + b * np.uint64(0x85EBCA77)) & np.uint64(0xFFFFFFFF)
+    triple = (pair * np.uint64(0xC2B2AE3D) + d * np.uint64(0x27D4EB2F) + np.uint64(1)) & np.uint64(0xFFFFFFFF)
+    shift = np.uint64(32 - BUCKETS.bit_length() + 1)
+    return Spelled(word[at], scripts_of(c[at]), (pair >> shift).astype(np.int64), (triple >> shift).astype(np.int64))
 
 
 def held_out(row_id: Column) -> Column:
@@ -66,10 +93,10 @@ def held_out(row_id: Column) -> Column:
 @dataclass
 class LanguageModel:
     languages: list[str]
-    grams: dict[str, int]
-    #: (n-grams + 1, languages); the last row is for n-grams that no language has.
+    #: (BUCKETS, languages) log-likelihoods.
     logs: np.ndarray
-    scripts: dict[str, np.ndarray]
+    #: (scripts, languages): who uses what.
+    uses: np.ndarray
     words: dict[str, int] = field(default_factory=dict)
     scores: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), np.float32))
     filled: int = 0
@@ -80,109 +107,106 @@ class LanguageModel:
 
     def _score(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(words, languages) scores relative to each word's best, and whether the word has a letter."""
-        rest = len(self.grams)
-        at, starts, scripts = [], [], []
-        for w in words:
-            letters = letters_of(w)
-            starts.append(len(at))
-            at.extend([self.grams.get(g, rest) for g in grams_of(letters)] if letters else ())
-            scripts.append(Counter(map(script_of, letters)).most_common(1)[0][0] if letters else "")
-        lengths = np.diff(np.r_[starts, len(at)])
-        scores = np.zeros((len(words), len(self.languages)), np.float32)
+        spelled = spell(words)
+        lengths = np.bincount(spelled.word, minlength=len(words))
         has = lengths > 0
+        scores = np.zeros((len(words), len(self.languages)), np.float32)
         if has.any():
-            scores[has] = np.add.reduceat(self.logs[np.array(at, np.int64)], np.array(starts, np.int64)[has], axis=0)
-        everyone = np.ones(len(self.languages), bool)
-        for s in set(scripts) - {""}:
-            allowed = self.scripts.get(s, everyone)
-            own = np.array([x == s for x in scripts])
-            scores[np.ix_(own, ~allowed)] = -np.inf
+            starts = (np.cumsum(lengths) - lengths)[has]
+            scores[has] = np.add.reduceat(self.logs[spelled.pair] + self.logs[spelled.triple], starts, axis=0)
+        kinds = np.bincount(spelled.word * len(SCRIPTS) + spelled.script, minlength=len(words) * len(SCRIPTS)).reshape(len(words), -1)
+        allowed = self.uses[kinds.argmax(axis=1)]
+        scores[~allowed & allowed.any(axis=1, keepdims=True) & has[:, None]] = -np.inf
         scores -= scores.max(axis=1, keepdims=True)
-        return np.maximum(scores, NO_SCRIPT_SCORE), has
+        return np.maximum(scores, np.float32(NO_SCRIPT_SCORE)), has
 
-    def rows_of(self, words: list[str]) -> np.ndarray:
-        """Rows of ``scores`` for the words; row 0 is a word without a letter."""
-        try:
-            return np.fromiter(map(self.words.__getitem__, words), np.int32, len(words))
-        except KeyError:
-            pass
-        missing = list(set(words).difference(self.words))
+    def _learn(self, words: set[str]) -> None:
+        missing = list(words.difference(self.words))
+        if not missing:
+            return
         scores, has = self._score(missing)
         base, self.filled = self.filled, self.filled + int(has.sum())
         while self.filled > len(self.scores):
             self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
         self.scores[base : self.filled] = scores[has]
-        self.words.update(zip((w for w, ok in zip(missing, has) if ok), range(base, self.filled)))
-        self.words.update((w, 0) for w, ok in zip(missing, has) if not ok)
+        rows = np.where(has, base + np.cumsum(has) - 1, 0)  # row 0 is for words without a letter
+        self.words.update(zip(missing, rows.tolist()))
         self.chars += sum(map(len, missing))
-        return np.fromiter(map(self.words.__getitem__, words), np.int32, len(words))
 
-    @property
-    def _full(self) -> bool:
-        return len(self.words) > MAX_WORDS or self.chars > MAX_CHARS
+    def rows_of(self, words: list[str]) -> np.ndarray:
+        """Rows of ``scores`` for the words."""
+        self._room()
+        self._learn(set(words))
+        return np.fromiter(map(self.words.__getitem__, words), np.int32, len(words))
 
     def _room(self) -> None:
-        if not self.filled or self._full:
+        if not self.filled or len(self.words) > MAX_WORDS or self.chars > MAX_CHARS:
             self.words, self.scores, self.filled, self.chars = {}, np.zeros((4096, len(self.languages)), np.float32), 1, 0
 
     def label(self, texts: list[str | None]) -> list[np.ndarray]:
         """For each text, the language number of every word, -1 where a word has no letter."""
-        found: list[np.ndarray] = [np.empty(0, np.int8)] * len(texts)
+        split = [(t or "").split() for t in texts]
         if not self.languages:
-            return [np.full(len((t or "").split()), -1, np.int8) for t in texts]
-        waiting: list[tuple[int, np.ndarray]] = []
-        cells = 0
-
-        def flush() -> None:
-            nonlocal waiting, cells
-            waiting.sort(key=lambda x: len(x[1]))
-            block: list[tuple[int, np.ndarray]] = []
-            for item in waiting:
-                if block and (len(block) + 1) * len(item[1]) > CELLS:
-                    self._viterbi(block, found)
-                    block = []
-                block.append(item)
-            if block:
-                self._viterbi(block, found)
-            waiting, cells = [], 0
-
-        self._room()
-        for i, text in enumerate(texts):
-            words = (text or "").split()
-            if not words:
-                continue
-            if self._full or cells > 4 * CELLS:
-                flush()
-                self._room()
-            rows = self.rows_of(words)
-            cells += len(rows)
-            waiting.append((i, rows))
-        flush()
+            return [np.full(len(w), -1, np.int8) for w in split]
+        found: list[np.ndarray] = [np.empty(0, np.int8)] * len(texts)
+        at = 0
+        while at < len(split):
+            end, n = at, 0
+            while end < len(split) and (end == at or n + len(split[end]) <= WORDS_AT_ONCE):
+                n += len(split[end])
+                end += 1
+            self._room()
+            self._learn(set().union(*split[at:end]))
+            rows = [(i, np.fromiter(map(self.words.__getitem__, split[i]), np.int32, len(split[i]))) for i in range(at, end) if split[i]]
+            self._label(rows, found)
+            at = end
         return found
 
+    def _label(self, rows: list[tuple[int, np.ndarray]], found: list[np.ndarray]) -> None:
+        """Texts for which one language throughout is best are done at once: any switch costs more than its loss."""
+        hard = []
+        for i, r in rows:
+            loss = self.scores[r].sum(axis=0)
+            top = int(loss.argmax())
+            if loss[top] >= -SWITCH_PENALTY:
+                found[i] = np.where(r == 0, -1, top).astype(np.int8)
+            else:
+                hard.append((i, r))
+        hard.sort(key=lambda x: len(x[1]))
+        block: list[tuple[int, np.ndarray]] = []
+        for item in hard:
+            if block and (len(block) + 1) * len(item[1]) * len(self.languages) > CELLS:
+                self._viterbi(block, found)
+                block = []
+            block.append(item)
+        if block:
+            self._viterbi(block, found)
+
     def _viterbi(self, block: list[tuple[int, np.ndarray]], found: list[np.ndarray]) -> None:
+        """Best paths of a block of texts, all of them a word further at each step."""
         lengths = np.array([len(r) for _, r in block])
         steps, docs, langs = int(lengths.max()), len(block), len(self.languages)
         rows = np.zeros((steps, docs), np.int32)
         for k, (_, r) in enumerate(block):
             rows[: len(r), k] = r
-        came = np.empty((steps, docs, langs), np.int8)
-        here = np.arange(langs, dtype=np.int8)
-        best = np.zeros((docs, langs), np.float32)
+        scores = np.ascontiguousarray(self.scores[: self.filled].T)
+        stays = np.empty((steps, langs, docs), bool)
+        tops = np.empty((steps, docs), np.int8)
+        best = np.zeros((langs, docs), np.float32)  # relative to the best: a switch starts from -penalty
+        low = np.float32(-SWITCH_PENALTY)
         for t in range(steps):
-            top = best.argmax(axis=1)
-            jump = np.take_along_axis(best, top[:, None], 1) - np.float32(SWITCH_PENALTY)
-            stay = best >= jump
-            came[t] = np.where(stay, here, top[:, None])
-            best = np.where(stay, best, jump) + self.scores[rows[t]]
-            best -= best.max(axis=1, keepdims=True)
+            np.greater_equal(best, low, out=stays[t])
+            tops[t] = best.argmax(axis=0)
+            np.maximum(best, low, out=best)
+            best += scores.take(rows[t], axis=1)
+            best -= best.max(axis=0)
         labels = np.empty((steps, docs), np.int8)
-        state = best.argmax(axis=1)
-        # beyond a text's end the words score nothing and nobody switches, so walking back through them keeps the state
+        state = best.argmax(axis=0).astype(np.int8)
+        # beyond a text's end the words score nothing and the best state stays, so walking back through them keeps it
         each = np.arange(docs)
         for t in range(steps - 1, -1, -1):
             labels[t] = state
-            state = came[t, each, state]
+            state = np.where(stays[t][state, each], state, tops[t])
         labels[rows == 0] = -1
         for k, (i, r) in enumerate(block):
             found[i] = labels[: len(r), k].copy()
@@ -216,56 +240,44 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
     """Fit on a documented sample: the ``sample`` labelled rows of each language with the smallest id hash.
 
     Two scans: one of ids and labels for the hash below which a language's sample lies, one of the sampled texts,
-    which leave their tasks as n-gram counts. The driver gets one row a language, then at most
-    GRAMS_A_LANGUAGE counts for each.
+    which leave their tasks as bucket counts. The driver gets one row a language, then BUCKETS counts for each at most.
     """
     known = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang")).where(~held_out(F.col("id")) & F.col("lang").isNotNull())
     known = known.withColumn("h", F.xxhash64(F.col("id").cast("string"), F.lit("sample")))
     ranked = known.select("lang", "h").withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("r") <= sample)
     limits = {r["lang"]: r["h"] for r in ranked.groupBy("lang").agg(F.max("h").alias("h")).collect()}
     if not limits:
-        return LanguageModel([], {}, np.zeros((1, 0), np.float32), {})
+        return fit([], [], [], [])
     below = F.element_at(F.create_map(*[F.lit(x) for kv in limits.items() for x in kv]), F.col("lang"))
     chosen = known.where(F.col("h") <= below).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        seen: dict[str, np.ndarray] = {}
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for word, n in Counter((text or "").split()).items():
-                    letters = letters_of(word)
-                    for g in grams_of(letters) if letters else ():
-                        seen[lang, g] += n
-                    for s, k in Counter(map(script_of, letters)).items():
-                        seen[lang, "script:" + s] += n * k
-        keys = list(seen)
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([seen[k] for k in keys], pa.int64())], ["lang", "gram", "n"])
-
-    grams = chosen.mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    script = F.col("gram").startswith("script:")
-    top = Window.partitionBy("lang", script).orderBy(F.desc("n"), "gram")
-    kept = grams.withColumn("r", F.row_number().over(top)).where(F.col("r") <= GRAMS_A_LANGUAGE).select("lang", "gram", "n").toArrow().to_pydict()
-    return fit(zip(kept["lang"], kept["gram"], kept["n"]), sorted(limits))
-
-
-def fit(counts: Iterator[tuple[str, str, int]], languages: list[str]) -> LanguageModel:
-    """Smoothed log-likelihoods from (language, n-gram, count) rows."""
+                own = seen.setdefault(lang, np.zeros(BUCKETS + len(SCRIPTS), np.int64))
+                words = (text or "").split()
+                for at in range(0, len(words), WORDS_AT_ONCE):
+                    spelled = spell(words[at : at + WORDS_AT_ONCE])
+                    for slots in (spelled.pair, spelled.triple, BUCKETS + spelled.script):
+                        own += np.bincount(slots, minlength=len(own))
+        for lang, own in seen.items():
+            slots = np.flatnonzero(own)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(slots), pa.string()), pa.array(slots, pa.int32()), pa.array(own[slots], pa.int64())], ["lang", "slot", "n"])
+
+    counts = chosen.mapInArrow(count, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n")).toArrow().to_pydict()
+    return fit(counts["lang"], counts["slot"], counts["n"], sorted(limits))
+
+
+def fit(langs: list[str], slots: list[int], counts: list[int], languages: list[str]) -> LanguageModel:
+    """Smoothed log-likelihoods from (language, slot, count) rows; slots from BUCKETS on are scripts."""
     number = {name: i for i, name in enumerate(languages)}
-    grams: dict[str, int] = {}
-    rows: list[tuple[int, int, int]] = []
-    scripts: dict[str, np.ndarray] = {}
-    for lang, gram, n in counts:
-        if gram.startswith("script:"):
-            scripts.setdefault(gram[7:], np.zeros(len(languages)))[number[lang]] += n
-        else:
-            rows.append((grams.setdefault(gram, len(grams)), number[lang], n))
-    table = np.full((len(grams) + 1, len(languages)), 0.5)
-    for g, k, n in rows:
-        table[g, k] += n
-    logs = np.log(table / table.sum(axis=0))
-    letters = sum(scripts.values(), np.zeros(len(languages)))
-    uses = {s: c >= SCRIPT_SHARE * np.maximum(letters, 1) for s, c in scripts.items()}
-    return LanguageModel(languages, grams, (logs / math.sqrt(len(GRAM_LENGTHS))).astype(np.float32), {s: u for s, u in uses.items() if u.any()})
+    table = np.zeros((BUCKETS + len(SCRIPTS), len(languages)))
+    table[np.array(slots, np.int64), np.array([number[x] for x in langs], np.int64)] = counts
+    grams, letters = table[:BUCKETS] + 0.5, table[BUCKETS:]
+    # buckets overlap in what they say: halve it, so that the penalty is weighed against about one vote a letter
+    logs = (np.log(grams / grams.sum(axis=0)) / 2).astype(np.float32)
+    return LanguageModel(languages, logs, letters >= SCRIPT_SHARE * np.maximum(letters.sum(axis=0), 1))
 
 
 def identify_languages(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from sparkloom.llm.langid import SWITCH_PENALTY, held_out, identify_languages, known_language, script_of, train
+from sparkloom.llm.langid import SCRIPTS, SWITCH_PENALTY, held_out, identify_languages, known_language, scripts_of, train
 
 WORDS = {
     "en": "the of and house water green thing with from under little morning thought weather".split(),
@@ -79,4 +79,4 @@ def test_held_out_rows_are_not_learned_from(spark):
 
 
 def test_scripts():
-    assert [script_of(c) for c in "aßжαש中あ한"] == ["Latin", "Latin", "Cyrillic", "Greek", "Hebrew", "Han", "Kana", "Hangul"]
+    assert [SCRIPTS[i] for i in scripts_of(np.array([ord(c) for c in "aßжαש中あ한"]))] == ["Latin", "Latin", "Cyrillic", "Greek", "Hebrew", "Han", "Kana", "Hangul"]
