@@ -12,10 +12,12 @@ is cut freely; ties go to the earlier document; an empty table gives no rows. Ex
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -33,11 +35,19 @@ LOOK = 32
 #: Tokens of a shard, about. One document may be longer; it then is a shard of its own.
 SHARD_TOKENS = 1 << 21
 MAX_UNITS = 400_000
+UNITS_AT_ONCE = 300_000
 LONG_UNIT = 200
+#: What often follows a word, none of it a letter, digit or apostrophe.
+ENDINGS = b".,;:!?*#$%&()[]|\"-"
 
 
 class UnitTokenizer:
-    """Ids of whole texts, from those of their ASCII-space-separated units, which the tokenizer never joins."""
+    """Ids of whole texts, from those of their ASCII-space-separated units, which the tokenizer never joins.
+
+    A unit is a word with what follows it: the tokenizer cuts between a letter or digit and punctuation, so words and
+    their endings are looked up apart where the unit is new. Upper-case ASCII is lowered first, as the tokenizer
+    does, save where a special token's string could come of it.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -47,21 +57,90 @@ class UnitTokenizer:
         self.library.no_truncation()
         self.library.no_padding()
         self.units: dict[bytes, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
+        with open(path, encoding="utf-8") as f:
+            parts = json.load(f)
+        # the same model for words that normalising and splitting leave as they are
+        spaces = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+        suffix = parts["model"].get("end_of_word_suffix")
+        self.plain = Tokenizer.from_str(json.dumps(parts | {"normalizer": None, "pre_tokenizer": spaces, "post_processor": None, "added_tokens": []})) if suffix else None
+        self.ends_word = np.zeros(max(parts["model"]["vocab"].values()) + 1, bool)
+        self.ends_word[[i for token, i in parts["model"]["vocab"].items() if suffix and token.endswith(suffix)]] = True
 
     def ids(self, text: str | None, end: int | None = END_ID) -> np.ndarray:
-        units = (text or "").encode("utf-8", "surrogatepass").split()
+        return next(self.each([text], end))
+
+    def each(self, texts: Iterable[str | None], end: int | None = END_ID) -> Iterator[np.ndarray]:
+        """Ids of every text; new units are looked up together, for about UNITS_AT_ONCE units at a time."""
         tail = b"" if end is None else end.to_bytes(4, "little")
-        try:
-            found = b"".join(map(self.units.__getitem__, units))
-        except KeyError:
-            if len(self.units) > MAX_UNITS:
-                self.units.clear()
-            missing = list(set(units).difference(self.units))
-            encoded = self.library.encode_batch_fast([u.decode("utf-8", "surrogatepass") for u in missing], add_special_tokens=False)
-            new = {u: np.array(e.ids, "<u4").tobytes() for u, e in zip(missing, encoded)}
-            found = b"".join(new[u] if u in new else self.units[u] for u in units)
-            self.units.update((u, i) for u, i in new.items() if len(u) <= LONG_UNIT)
-        return np.frombuffer(found + tail, "<u4")
+        waiting: list[list[bytes]] = []
+        n = 0
+        for text in texts:
+            raw = (text or "").encode("utf-8", "surrogatepass")
+            waiting.append((raw if b"<|" in raw else raw.lower()).split())
+            n += len(waiting[-1])
+            if n >= UNITS_AT_ONCE:
+                yield from self._join(waiting, tail)
+                waiting, n = [], 0
+        yield from self._join(waiting, tail)
+
+    def _join(self, texts: list[list[bytes]], tail: bytes) -> Iterator[np.ndarray]:
+        if len(self.units) > MAX_UNITS:
+            self.units.clear()
+        new = self._new(set().union(*texts).difference(self.units))
+        self.units.update(new)
+        for units in texts:
+            yield np.frombuffer(b"".join(map(self.units.__getitem__, units)) + tail, "<u4")
+        for u in [u for u in new if len(u) > LONG_UNIT]:
+            del self.units[u]
+
+    def _new(self, units: set[bytes]) -> dict[bytes, bytes]:
+        words = [w if len(w := u.rstrip(ENDINGS)) != len(u) and w[-1:].isalnum() else u for u in units]  # of bytes: an ASCII letter or digit
+        rests = [u[len(w) :] for u, w in zip(units, words)]
+        if len(self.words) > MAX_UNITS:
+            self.words = {}
+        known = self.words
+        fresh = {b"": b""} | self._encode(list(set(words).union(rests).difference(known, (b"",))))
+        known.update(fresh)
+        found = {u: known[w] + known[r] for u, w, r in zip(units, words, rests)}
+        for w in [w for w in fresh if len(w) > LONG_UNIT]:
+            del known[w]
+        return found
+
+    def _encode(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of words: of lower-case Latin letters alone by the plain model, of all others by the library itself."""
+        plain: list[str] = []
+        keys: list[bytes] = []
+        other: list[bytes] = []
+        for w in words if self.plain else ():
+            if w.isalpha() and w.islower():
+                plain.append(w.decode())
+                keys.append(w)
+            elif (t := w.decode("utf-8", "surrogatepass").lower()).isalpha() and max(t) < "\u0250":
+                plain.append(t)
+                keys.append(w)
+            else:
+                other.append(w)
+        found = self._parted(other if self.plain else words)
+        if plain:
+            (encoded,) = self.plain.encode_batch_fast([" ".join(plain)], add_special_tokens=False)
+            ids = np.array(encoded.ids, "<u4")
+            cuts = [0, *((np.flatnonzero(self.ends_word[ids]) + 1) * 4).tolist()]
+            raw = ids.tobytes()
+            found.update(zip(keys, [raw[a:b] for a, b in zip(cuts, cuts[1:])], strict=True))
+        return found
+
+    def _parted(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Words in one text, parted by spaces; its tokens' offsets tell whose they are."""
+        if not words:
+            return {}
+        texts = [w.decode("utf-8", "surrogatepass") for w in words]
+        encoded = self.library.encode(" ".join(texts), add_special_tokens=False)
+        ids = np.array(encoded.ids, "<u4").tobytes()
+        begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        offsets = np.fromiter(map(itemgetter(0), encoded.offsets), np.int64, len(ids) // 4)
+        cuts = (np.searchsorted(offsets, begins) * 4).tolist()
+        return dict(zip(words, [ids[a:b] for a, b in zip(cuts, cuts[1:])]))
 
 
 @lru_cache(maxsize=4)
@@ -184,8 +263,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_i
 
         for batch in batches:
             id_type = batch.schema.field(0).type
-            for name, text in zip(batch.column(0), batch.column(1)):
-                ids = tokenizer.ids(text.as_py())
+            for name, ids in zip(batch.column(0), tokenizer.each(t.as_py() for t in batch.column(1))):
                 gathered.append((name.as_py(), ids))
                 tokens += len(ids)
                 if tokens >= shard_tokens:
