@@ -21,10 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^<>"']*(?:"[^"]*"[^<>"']*|'[^']*'[^<>"']*)*)>""", re.S)
-NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*((?P<q>[\"']).*?(?P=q)|[^\s\"'>]+)", re.I | re.S)
 PIECE = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
-HIDDEN_MARK = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none""", re.I)
+HIDDEN_MARK = re.compile(r"display\s*:\s*none|(?<![-\w])hidden(?=[\s=]|$)", re.I)
 #: Elements whose content isn't text of the page.
 OPAQUE = {"script", "style", "head", "title", "noscript", "template", "svg", "iframe", "object", "canvas", "audio", "video", "math", "textarea", "select", "datalist"}
 RAW = {"script", "style", "title", "textarea", "iframe"}
@@ -138,7 +138,7 @@ def _marks(name: str, attributes: str, around: tuple | None) -> tuple[bool, bool
     _, article, boiler, content = around or ("", False, False, False)
     said: set[str] = set()
     if attributes and name not in ("html", "body"):
-        for value in NAMES.findall(attributes):
+        for value, _ in NAMES.findall(attributes):
             said.update(PIECE.findall(CAMEL.sub(" ", value).lower()))
         if HIDDEN_MARK.search(attributes):
             boiler = True
