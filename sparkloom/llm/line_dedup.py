@@ -13,10 +13,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import SALTS, salt_of
+from sparkloom.llm.common import attach, materialize, with_row_id
 
 HIDDEN = r"(?is)<(script|style|head|noscript|template)\b.*?</\1\s*>|<!--.*?-->"
 BLOCK = r"(?i)</?(?:p|div|li|ul|ol|h[1-6]|br|tr|table|nav|article|section|header|footer|aside|main|body|html|form|blockquote|pre|dl|dt|dd|figure|figcaption|hr)\b[^>]*>"
+#: Rows (host, digest) that go to every task at most: about 100 bytes each.
+BROADCAST_ROWS = 50_000
 TAG = r"<[/!?]?[a-zA-Z][^>]*>"
 
 
@@ -34,20 +36,29 @@ def lines_of(html: Column) -> Column:
     return F.filter(trimmed, lambda x: x != "")
 
 
-def dedup_lines(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", max_ratio: float = 0.1, min_pages: int = 3) -> DataFrame:
+def dedup_lines(
+    pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", max_ratio: float = 0.1, min_pages: int = 3, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """page_id, host, text (kept lines, newline-joined), n_lines, n_dropped.
 
-    Lines are counted as (host, digest) with map-side combining, so a hot host's lines spread over all tasks. A
-    host's boilerplate digests, fewer than its lines a page divided by ``max_ratio``, meet its pages salted.
+    Lines are counted as (host, digest) with map-side combining, so a hot host's lines spread over all tasks. The
+    boilerplate found is written down and counted. Up to ``broadcast_rows`` of it, some MB, goes to every task and
+    pages stay where they are; more of it meets the pages' digests in a salted join, and each page's own share of it
+    comes back to the page by its place in the files.
     """
-    lined = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"), lines_of(F.col(html_col)).alias("lines"))
+    lined = lambda df, *more: df.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"), lines_of(F.col(html_col)).alias("lines"), *more)
+    digests = F.transform(F.array_distinct("lines"), lambda x: F.md5(x))
     hosts = pages.select(host_of(F.col(url_col)).alias("host")).groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    digest = F.transform(F.array_distinct("lines"), lambda x: F.md5(x))
-    seen = lined.select("host", F.explode(digest).alias("digest")).groupBy("host", "digest").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
-    common = seen.join(hosts, "host").where(F.col("n") > F.col("pages") * F.lit(max_ratio)).groupBy("host").agg(F.collect_list("digest").alias("boilerplate"))
-    salts = F.array(*[F.lit(i) for i in range(SALTS)])
-    spread = common.withColumn("_salt", F.explode(salts))
-    met = lined.withColumn("_salt", salt_of(F.col("page_id"))).join(spread, ["host", "_salt"], "left")
+    seen = lined(pages).select("host", F.explode(digests).alias("digest")).groupBy("host", "digest").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
+    common = materialize(seen.join(hosts, "host").where(F.col("n") > F.col("pages") * F.lit(max_ratio)).select("host", "digest"), "boilerplate")
+    if common.count() <= broadcast_rows:
+        met = lined(pages).join(F.broadcast(common.groupBy("host").agg(F.collect_list("digest").alias("boilerplate"))), "host", "left")
+    else:
+        pages, row = with_row_id(pages)
+        keyed = lined(pages, F.col(row).alias("row"))
+        own = keyed.select("row", "host", F.explode(digests).alias("digest"))
+        found = attach(own, common.withColumn("common", F.lit(True)), ["host", "digest"], "row").where("common")
+        met = keyed.join(found.groupBy("row").agg(F.collect_list("digest").alias("boilerplate")), "row", "left")
     kept = F.when(F.col("boilerplate").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda x: ~F.array_contains("boilerplate", F.md5(x))))
     return met.withColumn("kept", kept).select(
         "page_id",

@@ -1,13 +1,16 @@
+import pytest
+
 from sparkloom.llm.line_dedup import dedup_lines, host_of
 
 SCHEMA = "page_id long, url string, html string, host string, lines int"
 
 
-def test_boilerplate_goes_within_its_host_only(spark):
+@pytest.mark.parametrize("most", [50_000, 0])
+def test_boilerplate_goes_within_its_host_only(spark, most):
     pages = [(i, f"https://www.A.example/{i}", f"<nav>Menu</nav><script>Menu\n</script><p>Own  text {i}</p><div>Menu</div>", "x", 0) for i in range(40)]
     pages += [(100 + i, f"http://b.example:80/{i}", f"<p>Menu</p><p>b {i}</p>" if i == 0 else f"<p>b {i}</p>", "x", 0) for i in range(20)]
     pages += [(200, None, None, None, 0), (201, "nonsense", "", None, 0), (202, "http://c.example/", "bare <b>te</b>xt<br>line", None, 0), (202, "http://c.example/", "bare <b>te</b>xt<br>line", None, 0)]
-    found = dedup_lines(spark.createDataFrame(pages, SCHEMA)).collect()
+    found = dedup_lines(spark.createDataFrame(pages, SCHEMA), broadcast_rows=most).collect()
     assert len(found) == len(pages)
     by = {r.page_id: r for r in found}
     assert by[7].text == "Own text 7" and (by[7].n_lines, by[7].n_dropped, by[7].host) == (3, 2, "a.example")
