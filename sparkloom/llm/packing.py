@@ -34,7 +34,7 @@ QUERY_TERMS = 32
 LOOK = 32
 #: Tokens of a shard, about. One document may be longer; it then is a shard of its own.
 SHARD_TOKENS = 1 << 21
-MAX_UNITS = 400_000
+MAX_UNITS = 1_000_000
 UNITS_AT_ONCE = 300_000
 LONG_UNIT = 200
 #: What often follows a word, none of it a letter, digit or apostrophe.
