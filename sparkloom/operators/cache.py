@@ -76,7 +76,7 @@ def missing(keyed_chunks: DataFrame, cache: DataFrame) -> DataFrame:
 
 
 def usages(keyed_chunks: DataFrame) -> DataFrame:
-    """Where each key is used, in order."""
+    """Where each key is used, in order: a list a key, for reviewers. Rules go by counts (release_errors), not by it."""
     use = F.struct("id", F.coalesce("source_record_id", F.lit("")).alias("record"), F.coalesce("source_start_byte", F.lit(0)).alias("start"), F.coalesce("source_end_byte", F.lit(0)).alias("end"))
     return keyed_chunks.groupBy("cache_key").agg(F.array_sort(F.collect_list(use)).alias("usages"), F.count(F.lit(1)).alias("n"))
 
@@ -126,10 +126,10 @@ def generate(missing_keys: DataFrame, recipe: dict[str, Any], call: Callable[[st
 
 
 def release_errors(keyed_chunks: DataFrame, cache: DataFrame, most: float = MOST_FALLBACK) -> DataFrame:
-    """Missing keys, each with the chunks that need it; and too great a share of usages that fall back."""
+    """Missing keys, each with a chunk that needs it; and too great a share of usages that fall back."""
     known = cache.select("cache_key", "status")
-    used = keyed_chunks.groupBy("cache_key").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list("id")).alias("ids")).join(known, "cache_key", "left")
-    lost = used.where("status IS NULL").select(F.concat(F.lit("missing "), "cache_key", F.lit(" for "), F.array_join("ids", ", ")).alias("error"))
+    used = keyed_chunks.groupBy("cache_key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")).join(known, "cache_key", "left")
+    lost = used.where("status IS NULL").select(F.concat(F.lit("missing "), "cache_key", F.lit(" for "), "first", F.when(F.col("n") > 1, F.concat(F.lit(" and "), (F.col("n") - 1).cast("string"), F.lit(" more"))).otherwise("")).alias("error"))
     share = used.agg(F.sum("n").alias("n"), F.sum(F.when(F.col("status") == FALLBACK, F.col("n")).otherwise(0)).alias("fallback"))
     heavy = share.where(F.col("fallback") > F.lit(most) * F.col("n")).select(F.concat(F.lit("fallback "), "fallback", F.lit(" of "), "n").alias("error"))
     return lost.unionByName(heavy)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.functions import columns as C
 from sparkloom.operators.chunks import COMPANION, OFFICIAL
+from sparkloom.operators.rows import digest_in_order
 
 SCALARS = "title section_heading breadcrumb source_url page_key chunk_index category token_estimate source_type verification_status upstream_repo upstream_commit source_path raw_url latest_url".split()
 SPAN_SCALARS = "source_record_id source_start_byte source_end_byte source_token_count content_token_count embedding_token_count s6_header".split()
@@ -123,8 +124,8 @@ def _block(spark: Any, rows: list, vectors: DataFrame, k: int, vector_id: str, e
         names, matrix, length, wanted = shipped.value
         best_d, best_i = np.full((len(names), 0), np.inf), np.empty((len(names), 0), object)
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
                 ids = np.array(part.column(0).to_pylist(), object)
                 own = np.stack(part.column(1).to_numpy(zero_copy_only=False)).astype(np.float64)
                 d = 1 - matrix @ own.T / (length * np.linalg.norm(own, axis=1))
@@ -199,10 +200,7 @@ def semantic_inputs(plan: DataFrame) -> DataFrame:
 
 
 def semantic_summary(inputs: DataFrame) -> DataFrame:
-    """One row: number of inputs and the hash of their sorted (id, hash) pairs as canonical JSON.
-
-    The digest is of one sequence by definition; it gathers two short strings a chunk, never text.
-    """
-    pair = F.to_json(F.array("id", "embedding_input_sha256"))
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("id", "embedding_input_sha256", pair.alias("pair")))), lambda x: x["pair"])
-    return inputs.agg(F.count(F.lit(1)).alias("row_count"), C.sha256(F.concat(F.lit("["), F.array_join(ordered, ","), F.lit("]"))).alias("semantic_inputs_sha256"))
+    """One row: number of inputs and the hash of their sorted (id, hash) pairs as canonical JSON."""
+    pairs = inputs.select("id", "embedding_input_sha256", F.to_json(F.array("id", "embedding_input_sha256")).alias("pair"))
+    sha = digest_in_order(pairs, "pair", "id", "embedding_input_sha256", between=",", before="[", after="]")
+    return inputs.agg(F.count(F.lit(1)).alias("row_count")).withColumn("semantic_inputs_sha256", F.lit(sha))

@@ -60,6 +60,34 @@ def carry_forward(df: DataFrame, column: str, partition: list[str], order: list[
     return df.withColumn(name or column, value)
 
 
+def digest_in_order(df: DataFrame, text: str, *order: str, between: str = "", before: str = "", after: str = "", chunk: int = 1 << 20) -> str:
+    """SHA-256 of all rows' texts in order, joined: one sequence by definition, so it streams through the driver.
+
+    Rows are range-sorted by all executors, which hand over pieces of about ``chunk`` characters; the driver holds one
+    partition's pieces at a time and never a list of all rows.
+    """
+    import hashlib
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for value in batch.column(0).to_pylist():
+                held.append(value)
+                size += len(value)
+                if size >= chunk:
+                    yield pa.RecordBatch.from_pydict({"piece": [between.join(held)]})
+                    held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_pydict({"piece": [between.join(held)]})
+
+    digest, first = hashlib.sha256(before.encode()), True
+    for row in df.orderBy(*order).select(text).mapInArrow(pieces, "piece string").toLocalIterator():
+        digest.update(((between if not first else "") + row["piece"]).encode())
+        first = False
+    digest.update(after.encode())
+    return digest.hexdigest()
+
+
 def contiguity(df: DataFrame, key: str = "page_key", index: str = "chunk_index") -> DataFrame:
     """Keys whose indices aren't exactly 0 to n - 1."""
     found = df.groupBy(key).agg(F.min(index).alias("lowest"), F.max(index).alias("highest"), F.count(index).alias("n"), F.count_distinct(index).alias("distinct_n"))

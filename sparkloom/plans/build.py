@@ -63,6 +63,30 @@ def build_index(chunks: DataFrame, path: str, *, candidate: str, embedder: Embed
     return document
 
 
+def evaluate_table(spark: SparkSession, path: str, queries: dict[str, str], groups: DataFrame, embedder: Embedder, k: int = 5) -> DataFrame:
+    """Results of a suite (query texts by id, target groups) over a vector table."""
+    return evaluate.run_suite(search(spark, path, queries, embedder, k), groups)
+
+
+def verify_table(spark: SparkSession, path: str, queries: dict[str, str], embedder: Embedder, source_type: str | None = None, limit: float = 0.45) -> DataFrame:
+    """Smoke queries without a hit near enough among the first three of the source type."""
+    asked = spark.createDataFrame([(q,) for q in queries], "query_id string")
+    return index.smoke_failures(search(spark, path, queries, embedder, 3, source_type), asked, limit)
+
+
+def compare_bundles(a: dict[str, Any], b: dict[str, Any]) -> DataFrame:
+    """(item, failure) of two readers.run_bundle: inputs, results, embedding contract, cache and semantic hash."""
+    spark = a["results"].sparkSession
+    whole = [("run", name) for name, x, y in (
+        ("contracts", a["manifest"].get("embedding_contract"), b["manifest"].get("embedding_contract")), ("cache", a["cache_sha256"], b["cache_sha256"]),
+        ("semantic_inputs", a["semantic_inputs_sha256"], b["semantic_inputs_sha256"]),
+    ) if x != y]
+    out = spark.createDataFrame(whole, "item string, failure string")
+    out = out.unionByName(evaluate.compare_inputs(a["inputs"], b["inputs"]).withColumnRenamed("id", "item"))
+    results = evaluate.compare_results(a["results"], b["results"]).select(F.concat_ws("/", "query_id", "group_index").alias("item"), "failure")
+    return out.unionByName(results)
+
+
 def search(spark: SparkSession, path: str, queries: dict[str, str], embedder: Embedder, k: int = 5, source_type: str | None = None) -> DataFrame:
     """Hits of query texts (by id) in a vector table: what evaluation takes. The filter goes before the search."""
     table = spark.read.parquet(path)

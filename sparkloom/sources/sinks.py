@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.functions.header import COMPANION
+from sparkloom.operators.rows import digest_in_order
 from sparkloom.operators.validate import require_none
 from sparkloom.sources import readers
 
@@ -93,9 +94,8 @@ def fetch_manifest(config: dict[str, Any], files: DataFrame, fetched_at: str) ->
 
 
 def combined_sha(files: DataFrame) -> str:
-    """Hash of the sorted ``path<TAB>sha256`` lines: content alone, not order or time. Two short strings a file are gathered."""
-    lines = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("path", "sha256"))), lambda f: F.concat(f["path"], F.lit("\t"), f["sha256"])), "\n")
-    return files.agg(F.sha2(lines, 256)).first()[0]
+    """Hash of the sorted ``path<TAB>sha256`` lines: content alone, not order or time."""
+    return digest_in_order(files.select("path", F.concat("path", F.lit("\t"), "sha256").alias("line")), "line", "path", between="\n")
 
 
 def freeze(spark: SparkSession, *, official: str, staging: str, manifest: str, config: str, out: str, created_at: str = "") -> dict[str, Any]:

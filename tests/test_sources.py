@@ -222,3 +222,45 @@ def test_stream_of_files(spark, tmp_path):
     stream = ingest.read(spark, f"{tmp_path}/in/*", "id string, ts timestamp, v double", files_at_once=1)
     ingest.run_once(ingest.first_arrivals(stream, ["id"], "ts"), "arrived", f"{tmp_path}/c1", "append")
     assert sorted(r.id for r in spark.table("arrived").collect()) == ["a", "b", "c"]
+
+
+def test_command_line(spark, corpus, monkeypatch):
+    from sparkloom import __main__ as cli
+
+    monkeypatch.setattr(cli, "session", lambda name: spark)
+    where = [f"--{k}={v}" for k, v in paths(corpus).items()]
+    cli.main(["snapshot", f"{corpus}/snap", *where])
+    cli.main(["chunk", f"{corpus}/chunks", f"--snapshot={corpus}/snap"])
+    sha = json.loads((corpus / "snap/snapshot_manifest.json").read_text())["source_snapshot_sha256"]
+    cli.main(["embed", f"{corpus}/chunks", f"{corpus}/table", f"{corpus}/index.json", "--dimensions=16", f"--snapshot-sha={sha}"])
+    assert json.loads((corpus / "index.json").read_text())["chunk_count"] > 3
+    sinks.save_json([{"query_id": "q", "query": "fooBar a_b", "groups": [{"page_match": "one.md", "markers": ["fooBar"]}, {"page_match": "zzz"}]}], f"{corpus}/fixtures.json")
+    cli.main(["evaluate", f"{corpus}/fixtures.json", f"{corpus}/table", f"{corpus}/results", "--dimensions=16"])
+    found = {r.group_index: r.hit for r in spark.read.json(f"{corpus}/results").collect()}
+    assert found == {0: True, 1: False}
+    sinks.save_json({"urls": ROOTS}, f"{corpus}/tree.json")
+    cli.main(["shards", f"{corpus}/tree.json", "--shards=2", f"--outputs={corpus}/gh"])
+    assert (corpus / "gh").read_text().startswith('matrix={"include":[{"shard":0,')
+
+
+def test_bundles(spark, tmp_path):
+    for name, distance in (("a", 0.2), ("b", 0.2), ("c", 0.3)):
+        (tmp_path / name).mkdir()
+        group = {"index": 0, "identity": ["p", []], "rank": 1, "distance": distance, "hit": True}
+        sinks.save_json({"queries": {"q": {"status": "ok", "groups": [group]}}}, f"{tmp_path}/{name}/results.json")
+        sinks.save_json({"embedding_contract": {"v": 1 if name != "c" else 2}}, f"{tmp_path}/{name}/manifest.json")
+        lines = [{"id": "i", "raw_document": "d", "canonical_metadata": {"x": name == "c"}, "embedding_input_sha256": "s"}, {"semantic_inputs_sha256": "h"}]
+        (tmp_path / name / "semantic_inputs.jsonl").write_text("\n".join(map(json.dumps, lines)))
+    a, b, c = (readers.run_bundle(spark, f"{tmp_path}/{n}") for n in "abc")
+    assert build.compare_bundles(a, b).collect() == []
+    assert {(r.item, r.failure) for r in build.compare_bundles(a, c).collect()} == {("run", "contracts"), ("i", "canonical_metadata"), ("q/0", "distances")}
+
+
+def test_digest_streams_in_order(spark):
+    from sparkloom.operators.rows import digest_in_order
+
+    values = [f"{i:05d}" for i in range(3000)]
+    df = spark.createDataFrame([(v,) for v in reversed(values)], "v string").repartition(7)
+    for chunk in (10, 1 << 20):
+        assert digest_in_order(df, "v", "v", between=",", before="[", after="]", chunk=chunk) == hashlib.sha256(f"[{','.join(values)}]".encode()).hexdigest()
+    assert digest_in_order(df.limit(0), "v", "v") == hashlib.sha256(b"").hexdigest()
