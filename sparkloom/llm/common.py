@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +56,13 @@ def attach(rows: DataFrame, lookup: DataFrame, keys: list[str], row_id: str) ->
     return salted.join(pairs, [*keys, "_salt"], "left").drop("_salt")
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Batches cut to so many rows, without copying: what is made of them in Python stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def with_row_id(docs: DataFrame) -> tuple[DataFrame, str]:
     """``docs`` with a string that names each row (file and place in it), and that column's name.
 

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkloom.llm.common import slices
+
 #: Documented bound of the fitted sample: rows a language.
 SAMPLE_A_LANGUAGE = 1500
 #: Letter pairs and triples are counted in so many buckets; a model takes this many floats a language.
@@ -32,7 +34,7 @@ NO_SCRIPT_SCORE = -30.0
 #: block: memory bounds without effect on results.
 MAX_WORDS = 400_000
 MAX_CHARS = 1 << 24
-WORDS_AT_ONCE = 1 << 20
+WORDS_AT_ONCE = 1 << 19
 CELLS = 1 << 22
 
 #: First code point of a range and the script from there on.
@@ -145,27 +147,29 @@ class LanguageModel:
 
     def label(self, texts: list[str | None]) -> list[np.ndarray]:
         """For each text, the language number of every word, -1 where a word has no letter."""
-        split = [(t or "").split() for t in texts]
         if not self.languages:
-            return [np.full(len(w), -1, np.int8) for w in split]
+            return [np.full(len((t or "").split()), -1, np.int8) for t in texts]
         found: list[np.ndarray] = [np.empty(0, np.int8)] * len(texts)
-        at = 0
-        while at < len(split):
-            end, n = at, 0
-            while end < len(split) and (end == at or n + len(split[end]) <= WORDS_AT_ONCE):
-                n += len(split[end])
-                end += 1
-            self._room()
-            self._learn(set().union(*split[at:end]))
-            rows = [(i, np.fromiter(map(self.words.__getitem__, split[i]), np.int32, len(split[i]))) for i in range(at, end) if split[i]]
-            self._label(rows, found)
-            at = end
+        waiting: list[tuple[int, list[str]]] = []
+        n = 0
+        for i, text in enumerate(texts):
+            words = (text or "").split()
+            if waiting and n + len(words) > WORDS_AT_ONCE:
+                self._label(waiting, found)
+                waiting, n = [], 0
+            if words:
+                waiting.append((i, words))
+                n += len(words)
+        self._label(waiting, found)
         return found
 
-    def _label(self, rows: list[tuple[int, np.ndarray]], found: list[np.ndarray]) -> None:
+    def _label(self, texts: list[tuple[int, list[str]]], found: list[np.ndarray]) -> None:
         """Texts for which one language throughout is best are done at once: any switch costs more than its loss."""
+        self._room()
+        self._learn(set().union(*(words for _, words in texts)))
         hard = []
-        for i, r in rows:
+        for i, words in texts:
+            r = np.fromiter(map(self.words.__getitem__, words), np.int32, len(words))
             loss = self.scores[r].sum(axis=0)
             top = int(loss.argmax())
             if loss[top] >= -SWITCH_PENALTY:
@@ -287,7 +291,7 @@ def identify_languages(docs: DataFrame, model: LanguageModel, *, id_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shipped.value
-        for batch in batches:
+        for batch in slices(batches):
             names, scores, spans = m.predict(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(spans, pa.int32())],
@@ -304,7 +308,7 @@ def known_language(docs: DataFrame, model: LanguageModel, *, text_col: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shipped.value
-        for batch in batches:
+        for batch in slices(batches):
             names, _, _ = m.predict(batch.column(at).to_pylist())
             yield batch.filter(pa.array([n != "und" for n in names], pa.bool_()))
 
