@@ -13,7 +13,7 @@ from sparkloom import schemas
 from sparkloom.functions import columns as C
 from sparkloom.functions import header, html, markdown, splitter
 from sparkloom.functions.tokenizer import BUDGET, Counter, QuarterTokenizer
-from sparkloom.operators.rows import Row, flat_map, numbered, running_bytes
+from sparkloom.operators.rows import Row, flat_map, numbered, running_bytes, spread
 
 MIN_TOKENS = 100
 MAX_TOKENS = 1200
@@ -43,7 +43,7 @@ def html_sections(pages: DataFrame, *, file_col: str = "file", html_col: str = "
                 "content_text": html.text_of(s.nodes), "content_html": html.html_of(s.nodes), "page_title": title,
             }
 
-    return flat_map(pages.select(F.col(file_col).cast("string").alias("file"), F.col(html_col).alias("html")), parse, schemas.HTML_SECTION)
+    return flat_map(spread(pages.select(F.col(file_col).cast("string").alias("file"), F.col(html_col).alias("html"))), parse, schemas.HTML_SECTION)
 
 
 def markdown_sections(files: DataFrame, *, curated: bool = False) -> DataFrame:
@@ -131,7 +131,7 @@ def chunk_pages(pages: DataFrame, *, least: int = MIN_TOKENS, most: int = MAX_TO
                 yield {"file": row["file"], "ord": i, "stem": _stem(row["file"]), "page_title": title, "heading": d["heading"], "breadcrumb": d["breadcrumb"], "source_url": d["source_url"], "page_key": d["page_key"], "content": d["text"], "content_html": d["html"]}
 
     drafts = flat_map(
-        pages.select(F.col(file_col).cast("string").alias("file"), F.col(html_col).alias("html")), parse,
+        spread(pages.select(F.col(file_col).cast("string").alias("file"), F.col(html_col).alias("html"))), parse,
         "file string, ord int, stem string, page_title string, heading string, breadcrumb string, source_url string, page_key string, content string, content_html string",
     )
     return numbered(_official(drafts), "page_key", "file", "ord")
@@ -170,7 +170,7 @@ def chunk_markdown(files: DataFrame, *, least: int = MIN_TOKENS, most: int = MAX
         for i, d in enumerate(kept):
             yield {"file": row["path"], "ord": i, "title": title, "heading": d["heading"] or title, "breadcrumb": crumb, "source_url": d["source_url"], "page_key": key, "content": d["text"], "content_html": d["html"], **_provenance(row)}
 
-    drafts = flat_map(files, parse, "file string, ord int, title string, heading string, breadcrumb string, source_url string, page_key string, content string, content_html string, upstream_repo string, upstream_commit string, raw_url string, latest_url string")
+    drafts = flat_map(spread(files), parse, "file string, ord int, title string, heading string, breadcrumb string, source_url string, page_key string, content string, content_html string, upstream_repo string, upstream_commit string, raw_url string, latest_url string")
     named = drafts.select(
         "file", "ord", C.companion_chunk_id(F.col("file"), F.col("ord")).alias("id"), "title", F.col("heading").alias("section_heading"), "breadcrumb", "source_url", "page_key",
         F.lit(COMPANION_CATEGORY).alias("category"), "content", "content_html", C.token_estimate(F.col("content")).alias("token_estimate"),
@@ -278,7 +278,7 @@ def span_chunk_markdown(files: DataFrame, tokenizer: Counter | None = None) -> D
                 yield chunk | {"file": row["path"], "ord": ord_, "title": title, "section_heading": heading, "breadcrumb": crumb, "source_url": row["blob_url"] or "", "page_key": key, **_provenance(row)}
                 ord_ += 1
 
-    made = flat_map(files, parse, f"file string, ord int, title string, section_heading string, breadcrumb string, source_url string, page_key string, content string, content_html string, token_estimate int, upstream_repo string, upstream_commit string, raw_url string, latest_url string, {schemas.SPAN_FIELDS}")
+    made = flat_map(spread(files), parse, f"file string, ord int, title string, section_heading string, breadcrumb string, source_url string, page_key string, content string, content_html string, token_estimate int, upstream_repo string, upstream_commit string, raw_url string, latest_url string, {schemas.SPAN_FIELDS}")
     out = made.select(
         "file", "ord", C.companion_chunk_id(F.col("file"), F.col("ord")).alias("id"), *LABELS, F.lit(COMPANION_CATEGORY).alias("category"), "content", "content_html",
         "token_estimate", F.lit(COMPANION).alias("source_type"), F.lit("companion_unverified").alias("verification_status"), "upstream_repo", "upstream_commit", F.col("file").alias("source_path"), "raw_url", "latest_url", *_SPAN_NAMES,

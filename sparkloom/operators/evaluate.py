@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkloom.functions import columns as C
+from sparkloom.operators.rows import spread
 
 TOLERANCE = 1e-4
 
@@ -32,19 +33,23 @@ def run_suite(hits: DataFrame, groups: DataFrame, limit: float = 0.45) -> DataFr
 
 
 def fixture_errors(chunks: DataFrame, groups: DataFrame) -> DataFrame:
-    """(identity, error) of each distinct group whose marker stands whole in no chunk: missing, or split between chunks.
+    """(query_id, identity, error) of each distinct group whose marker stands whole in no chunk: missing, or split.
 
-    Containment is a theta join: the groups' side is broadcast, being the fixture file, and chunks are scanned once.
+    Containment is a theta join: the groups' side is broadcast, being the fixture file, and chunks are scanned once
+    for counts alone. Page texts are put together once for each page name of the groups that failed.
     """
     wanted = _groups(groups).groupBy("identity").agg(F.first("page_match").alias("page_match"), F.first("markers").alias("markers"), F.min("query_id").alias("query_id"))
-    on_page = F.broadcast(wanted).join(chunks.select("page_key", "chunk_index", "content"), C.page_matches(F.col("page_match"), F.col("page_key")), "left")
+    wanted = wanted.withColumn("_wanted", C.page_norm(F.col("page_match")))
+    own = chunks.select("page_key", "chunk_index", "content", C.page_norm(F.col("page_key")).alias("_page"))
+    on_page = F.col("_page").contains(F.col("_wanted"))
     whole = F.bool_or(F.exists("markers", lambda m: F.col("content").contains(m)))
+    seen = spread(own).join(F.broadcast(wanted), on_page).groupBy("identity").agg(F.count("content").alias("n"), whole.alias("whole"))
+    told = wanted.join(seen, "identity", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    failed = told.where((F.col("n") == 0) | ((F.size("markers") > 0) & ~F.coalesce("whole", F.lit(False))))
     pieces = F.sort_array(F.collect_list(F.struct("page_key", "chunk_index", C.squeeze(F.col("content")).alias("t"))))
-    found = on_page.groupBy("identity", "query_id", "markers").agg(F.count("content").alias("n"), whole.alias("whole"), pieces.alias("pieces"))
-    page = F.array_join(F.transform("pieces", lambda p: p["t"]), " ")
-    split = F.exists("markers", lambda m: page.contains(C.squeeze(m)))
-    error = F.when(F.col("n") == 0, "missing").when((F.size("markers") == 0) | F.col("whole"), None).when(split, "split").otherwise("missing")
-    return found.select("query_id", "identity", error.alias("error")).where("error IS NOT NULL")
+    pages = own.join(F.broadcast(failed.select("page_match", "_wanted").distinct()), on_page).groupBy("page_match").agg(F.array_join(F.transform(pieces, lambda p: p["t"]), " ").alias("page"))
+    split = F.exists("markers", lambda m: F.col("page").contains(C.squeeze(m)))
+    return failed.join(pages, "page_match", "left").select("query_id", "identity", F.when(split, "split").otherwise("missing").alias("error"))
 
 
 def match_holdout(targets: DataFrame, chunks: DataFrame) -> DataFrame:

@@ -14,6 +14,18 @@ from pyspark.sql.types import StructType
 Row = Mapping[str, Any]
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer splits than the cluster has cores, over all cores; anything else as it is.
+
+    Parsing costs far more than moving rows, and what is moved is at most a split a core. Plans that exchange rows
+    already are left alone.
+    """
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
+    cores, splits = df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
+    return df.repartition(cores) if 0 < splits < cores else df
+
+
 def flat_map(df: DataFrame, parse: Callable[[Row], Iterable[Row]], schema: str, out_rows: int = 2000) -> DataFrame:
     """Rows that ``parse`` makes of each row. No shuffle; batches in and out are bounded."""
     spark_schema = StructType.fromDDL(schema)

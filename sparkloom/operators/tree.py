@@ -111,7 +111,7 @@ def delta(old: DataFrame, new: DataFrame) -> DataFrame:
 
 def sample_urls(tree: DataFrame, n: int = 20, seed: int = 7) -> DataFrame:
     """Up to ``n`` distinct nodes at random, the same for the same seed."""
-    return tree.orderBy(F.xxhash64("url", F.lit(seed)), "node_id").limit(n)
+    return tree.orderBy(F.md5(F.concat(F.lit(str(seed)), "url")), "node_id").limit(n)
 
 
 def sidebar_items(pages: DataFrame, hosts: frozenset[str] = frozenset()) -> DataFrame:

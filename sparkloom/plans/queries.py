@@ -238,7 +238,7 @@ def interval_overlap(t: Tables) -> DataFrame:
 @query("SELECT b.item_id, d.doc_id FROM benchmark b JOIN documents d ON contains(d.text, b.text)")
 def marker_join(t: Tables) -> DataFrame:
     # the fixture side is a benchmark's items; sizes decide whether it is broadcast
-    return t.benchmark.alias("b").join(t.documents.alias("d"), F.col("d.text").contains(F.col("b.text"))).select("item_id", "doc_id")
+    return rows.spread(t.documents.alias("d")).join(t.benchmark.alias("b"), F.col("d.text").contains(F.col("b.text"))).select("item_id", "doc_id")
 
 
 @query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -468,37 +468,77 @@ def release_gates(t: Tables) -> DataFrame:
     return report.agg(count("identifier"), count("official"))
 
 
-# *** parsers (no SQL: compared with expectations in tests)
+# *** parsers
 
 
 def _pages(t: Tables) -> DataFrame:
     return t.pages.select(F.concat(F.lit("page_"), F.col("page_id"), F.lit(".html")).alias("file"), "html")
 
 
-@query()
+# a page's article is its heading, then one paragraph that nothing closes: its strings, trimmed, with spaces between
+def _unescaped(text: str) -> str:
+    for name, char in (("&quot;", '"'), ("&#x27;", "''"), ("&lt;", "<"), ("&gt;", ">"), ("&quot", '"'), ("&amp;", "&"), ("&amp", "&")):
+        text = f"replace({text}, '{name}', '{char}')"
+    return f"trim({text}, E' \\n\\t')"
+
+
+SECTIONS = f"""(SELECT 'page_' || page_id || '.html' AS file, {_unescaped("regexp_extract(html, '<h1>(.*?)</h1>', 1)")} AS heading,
+array_to_string(list_filter(list_transform(string_split(regexp_replace(regexp_extract(html, '(?s)</h1>(.*?)</article>', 1), '<[^>]*>', chr(1), 'g'), chr(1)), lambda x: {_unescaped("x")}), lambda x: x <> ''), ' ') AS body FROM pages)"""
+
+
+@query(f"SELECT file, 0 AS pos, 'h1' AS heading_tag, heading AS heading_text, '' AS breadcrumb, sha256(body) AS text_sha FROM {SECTIONS}")
 def html_sections(t: Tables) -> DataFrame:
-    return chunks.html_sections(_pages(t), element="article").drop("content_html")
+    found = chunks.html_sections(_pages(t), element="article")
+    return found.select("file", "pos", "heading_tag", "heading_text", "breadcrumb", C.sha256(F.col("content_text")).alias("text_sha"))
 
 
-@query()
+PAGE_CHUNKS = f"(SELECT *, CASE WHEN length(body) // 4 > 1200 THEN heading || chr(10) || body ELSE body END AS content FROM {SECTIONS})"
+
+
+@query(f"SELECT file, replace(file, '.html', '') || '_000' AS id, heading AS title, 'file:' || replace(file, '.html', '') AS page_key, 'Unknown' AS category, sha256(content) AS content_sha, (length(content) // 4)::INT AS token_estimate, 0 AS chunk_index FROM {PAGE_CHUNKS} WHERE content <> ''")
 def page_chunks(t: Tables) -> DataFrame:
-    return chunks.chunk_pages(_pages(t), element="article").drop("content_html")
+    made = chunks.chunk_pages(_pages(t), element="article")
+    return made.select("file", "id", "title", "page_key", "category", C.sha256(F.col("content")).alias("content_sha"), "token_estimate", "chunk_index")
 
 
-@query()
-def span_chunks(t: Tables) -> DataFrame:
-    return chunks.span_chunk_pages(_pages(t), element="article").drop("content_html")
+@query(f"SELECT 'official:file:' || replace(file, '.html', '') AS record, (strlen(heading) + 1)::BIGINT AS first_byte, (strlen(heading) + 1 + strlen(body))::BIGINT AS last_byte, strlen(body)::BIGINT AS covered, true AS fits FROM {SECTIONS} WHERE body <> ''")
+def span_coverage(t: Tables) -> DataFrame:
+    """Spans of the exact-budget chunks tile each page's text, and no chunk is over its budget."""
+    made = chunks.span_chunk_pages(_pages(t), element="article")
+    size = F.col("source_end_byte") - F.col("source_start_byte")
+    return made.groupBy(F.col("source_record_id").alias("record")).agg(F.min("source_start_byte").alias("first_byte"), F.max("source_end_byte").alias("last_byte"), F.sum(size).alias("covered"), F.bool_and(F.col("embedding_token_count") <= 254).alias("fits"))
 
 
-@query()
-def markdown_span_chunks(t: Tables) -> DataFrame:
+def _files(t: Tables) -> DataFrame:
     none = lambda k: F.lit(None).cast(k)
-    files = t.documents.select(F.concat("source", F.lit("/d"), "doc_id", F.lit(".md")).alias("path"), F.lit("Some title").alias("title"), F.col("lang").alias("area"), none("array<string>").alias("sections"), none("array<string>").alias("drop_sections"), F.lit(True).alias("strip_xml_blocks"), F.lit("r").alias("upstream_repo"), F.lit("c").alias("upstream_commit"), F.lit("u").alias("raw_url"), F.lit("b").alias("blob_url"), F.lit("l").alias("latest_url"), "text")
-    return chunks.span_chunk_markdown(files).drop("content_html")
+    return t.documents.select(
+        F.concat("source", F.lit("/d"), "doc_id", F.lit(".md")).alias("path"), F.lit("Some title").alias("title"), F.col("lang").alias("area"), none("array<string>").alias("sections"), none("array<string>").alias("drop_sections"),
+        F.lit(True).alias("strip_xml_blocks"), *[F.lit(v).alias(k) for k, v in (("upstream_repo", "r"), ("upstream_commit", "c"), ("raw_url", "u"), ("blob_url", "b"), ("latest_url", "l"))], "text",
+    )
 
 
-@query()
+BODY = r"trim(text, E' \n\t\r\v\f')"
+
+
+@query(f"SELECT source || '/d' || doc_id || '.md' AS path, 0 AS level, '' AS heading, sha256({BODY}) AS body_sha, (strlen(text) - strlen(ltrim(text, E' \\n\\t\\r\\v\\f')))::BIGINT AS start_byte, (strlen(text) - strlen(ltrim(text, E' \\n\\t\\r\\v\\f')) + strlen({BODY}))::BIGINT AS end_byte FROM documents WHERE {BODY} <> ''")
+def markdown_sections(t: Tables) -> DataFrame:
+    """The documents have no headings: each is a preamble."""
+    found = chunks.markdown_sections(_files(t), curated=True)
+    return found.select("path", "level", "heading", C.sha256(F.col("body")).alias("body_sha"), F.col("body_start_byte").alias("start_byte"), F.col("body_end_byte").alias("end_byte"))
+
+
+@query(f"SELECT 'companion://r/' || source || '/d' || doc_id || '.md' AS record, strlen({BODY})::BIGINT AS covered, true AS fits FROM documents WHERE {BODY} <> ''")
+def markdown_span_coverage(t: Tables) -> DataFrame:
+    made = chunks.span_chunk_markdown(_files(t))
+    size = F.col("source_end_byte") - F.col("source_start_byte")
+    return made.groupBy(F.col("source_record_id").alias("record")).agg(F.sum(size).alias("covered"), F.bool_and(F.col("embedding_token_count") <= 254).alias("fits"))
+
+
+@query(r"""SELECT doc_id, concat_ws(chr(10), CASE WHEN NOT starts_with(first, lang) THEN lang END, CASE WHEN NOT starts_with(first, source) THEN source END) AS header,
+(CASE WHEN NOT starts_with(first, lang) THEN (length(lang) + 3) // 4 ELSE 0 END + CASE WHEN NOT starts_with(first, source) THEN (length(source) + 3) // 4 ELSE 0 END)::INT AS tokens
+FROM (SELECT doc_id, lang, source, trim(regexp_replace(lower(split_part(text, chr(10), 1)), '\s+', ' ', 'g')) AS first FROM documents)""")
 def context_headers(t: Tables) -> DataFrame:
+    """Title: the source; breadcrumb: language, then the source again, which is left out."""
     counter = QuarterTokenizer()
 
     def one(row: rows.Row) -> list[rows.Row]:
@@ -510,11 +550,70 @@ def context_headers(t: Tables) -> DataFrame:
 
 @query()
 def structural_identifiers(t: Tables) -> DataFrame:
+    """Of markup as well as words: no SQL, tests have the expectations."""
     found = F.udf(I.identifiers, "array<string>", useArrow=True)
     ratio = F.udf(lambda text: I.code_ratio(text, QuarterTokenizer()), "double", useArrow=True)
     return t.pages.select("page_id", F.array_join(found("html"), " ").alias("names"), ratio("html").alias("code_ratio"))
 
 
+@query(r"""SELECT item_id::VARCHAR AS query_id, '{"page":"src","markers":' || to_json([text]) || '}' AS identity, CASE WHEN contains((SELECT string_agg(trim(regexp_replace(text, '\s+', ' ', 'g')), ' ' ORDER BY source, doc_id) FROM documents), trim(regexp_replace(b.text, '\s+', ' ', 'g'))) THEN 'split' ELSE 'missing' END AS error
+FROM benchmark b WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE contains(d.text, b.text))""")
+def fixture_errors(t: Tables) -> DataFrame:
+    """Benchmark passages as markers of any page."""
+    own = t.documents.select(F.col("source").alias("page_key"), F.col("doc_id").alias("chunk_index"), F.col("text").alias("content"))
+    wanted = t.benchmark.select(F.col("item_id").cast("string").alias("query_id"), F.lit(0).alias("group_index"), F.lit("src").alias("page_match"), F.array("text").alias("markers"))
+    return evaluate.fixture_errors(own, wanted)
+
+
+@query(f"""SELECT s.conv_id::VARCHAR AS query_id, 0 AS target_index, s.conv_id || '-' || s.turn AS id FROM ({SPANS}) s WHERE s.size > 0 AND s.start_byte < 300
+UNION ALL SELECT c.conv_id::VARCHAR, 1, c.conv_id || '-' || c.turn FROM conversations c WHERE c.role = 'assistant'""")
+def holdout_matches(t: Tables) -> DataFrame:
+    """Of each conversation, a target at its first 300 bytes and one at its assistant's turns."""
+    spans = _spans(t).join(t.conversations.select("conv_id", "turn", "role"), ["conv_id", "turn"])
+    own = spans.select(F.concat_ws("-", "conv_id", "turn").alias("id"), F.col("conv_id").cast("string").alias("source_record_id"), F.col("start_byte").alias("source_start_byte"), (F.col("start_byte") + F.col("size")).alias("source_end_byte"), F.col("role").alias("section_heading"))
+    record = F.col("conv_id").cast("string")
+    base = t.conversations.select("conv_id").distinct()
+    byte = base.select(record.alias("query_id"), F.lit(0).alias("target_index"), record.alias("source_record_id"), F.lit(0).cast("long").alias("start_byte"), F.lit(300).cast("long").alias("end_byte"), F.lit(None).cast("string").alias("section_heading"))
+    heading = base.select(record, F.lit(1), record, F.lit(None).cast("long"), F.lit(None).cast("long"), F.lit(" Assistant"))
+    return evaluate.match_holdout(byte.union(heading), own)
+
+
+@query("SELECT d.doc_id::VARCHAR AS cache_key, CASE WHEN l.doc_id IS NULL THEN 'removed' ELSE 'modified' END AS error FROM documents d LEFT JOIN labels l USING (doc_id) WHERE l.quality IS DISTINCT FROM 1")
+def cache_changes(t: Tables) -> DataFrame:
+    old = t.documents.select(F.col("doc_id").cast("string").alias("cache_key"), F.lit(1).alias("value"))
+    return cache.immutability_errors(old, t.labels.select(F.col("doc_id").cast("string").alias("cache_key"), F.col("quality").alias("value")))
+
+
+@query("""SELECT coalesce(d.id, l.id) AS id, unnest(list_filter([CASE WHEN d.id IS NULL OR l.id IS NULL THEN 'ids' END, CASE WHEN d.raw_document <> l.raw_document THEN 'raw_document' END], lambda x: x IS NOT NULL)) AS failure
+FROM (SELECT doc_id::VARCHAR AS id, '1' AS raw_document FROM documents) d FULL JOIN (SELECT doc_id::VARCHAR AS id, quality::VARCHAR AS raw_document FROM labels) l ON d.id = l.id""")
+def input_comparison(t: Tables) -> DataFrame:
+    side = lambda df, value: df.select(F.col("doc_id").cast("string").alias("id"), value.cast("string").alias("raw_document"))
+    return evaluate.compare_inputs(side(t.documents, F.lit(1)), side(t.labels, F.col("quality")))
+
+
+@query("SELECT cache_key, unnest(list_filter([CASE WHEN lang IS NULL THEN 'x' END, CASE WHEN lang NOT IN ('ok', 'raw_fallback') THEN 'unknown status' END], lambda x: x IS NOT NULL)) AS error FROM (SELECT doc_id::VARCHAR AS cache_key, CASE lang WHEN 'en' THEN 'ok' WHEN 'fr' THEN 'raw_fallback' ELSE lang END AS lang FROM documents) UNION ALL SELECT doc_id::VARCHAR, 'key exists' FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")
+def append_errors(t: Tables) -> DataFrame:
+    status = F.when(F.col("lang") == "en", "ok").when(F.col("lang") == "fr", "raw_fallback").otherwise(F.col("lang"))
+    return cache.append_errors(t.labels.select(F.col("doc_id").cast("string").alias("cache_key")), t.documents.select(F.col("doc_id").cast("string").alias("cache_key"), status.alias("status")))
+
+
+@query("SELECT n_name AS path, 'area' AS field FROM nation WHERE n_regionkey = 2 UNION ALL SELECT n_name, 'sections' FROM nation WHERE n_regionkey = 3")
+def policy_drift(t: Tables) -> DataFrame:
+    """Nations as source files; the configuration has another area for region 2 and other sections for region 3. Order of sections doesn't count."""
+    from sparkloom.sources import readers
+
+    key, name = F.col("n_regionkey"), F.col("n_name")
+    policy = lambda area, sections: t.nation.select(name.alias("path"), name.alias("title"), area.alias("area"), F.lit(1).alias("priority"), sections.alias("sections"), F.array(name).alias("drop_sections"), F.lit(False).alias("strip_xml_blocks"))
+    manifest = policy(F.lit("a"), F.array(name, F.lit("x")))
+    config = policy(F.when(key == 2, "b").otherwise("a"), F.when(key == 3, F.array(name)).otherwise(F.array(F.lit("x"), name)))
+    return readers.policy_drift(manifest, config).select("path", "field")
+
+
+@query(f"SELECT url, depth FROM {NODES} ORDER BY md5('7' || url) LIMIT 20")
+def sampled_urls(t: Tables) -> DataFrame:
+    return tree.sample_urls(_nodes(t)).select("url", "depth")
+
+
 # *** streams
 
 WINDOWS = "SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n, sum(value::DECIMAL(18, 6))::DOUBLE AS total FROM events GROUP BY 1, 2"
@@ -556,4 +655,5 @@ def oracle_sql() -> dict[str, str]:
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages to chunks to counts by category and page."""
-    return page_chunks(Tables(spark, sf_dir)).groupBy("page_key", "category").agg(F.count(F.lit(1)).alias("chunks"), F.sum("token_estimate").alias("tokens"), F.max("chunk_index").alias("last_index"))
+    made = chunks.chunk_pages(_pages(Tables(spark, sf_dir)), element="article")
+    return made.groupBy("page_key", "category").agg(F.count(F.lit(1)).alias("chunks"), F.sum("token_estimate").alias("tokens"), F.max("chunk_index").alias("last_index"))
