@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkloom.llm.common import spread
+
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^<>"']*(?:"[^"]*"[^<>"']*|'[^']*'[^<>"']*)*)>""", re.S)
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*((?P<q>[\"']).*?(?P=q)|[^\s\"'>]+)", re.I | re.S)
 PIECE = re.compile(r"[a-z]+")
@@ -237,4 +239,4 @@ def extract_pages(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     id_type, url_type = (source.schema[c].dataType.simpleString() for c in ("page_id", "url"))
-    return source.mapInArrow(run, f"page_id {id_type}, url {url_type}, text string, n_chars long")
+    return spread(source).mapInArrow(run, f"page_id {id_type}, url {url_type}, text string, n_chars long")

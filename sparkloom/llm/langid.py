@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import slices
+from sparkloom.llm.common import slices, spread
 
 #: Documented bound of the fitted sample: rows a language.
 SAMPLE_A_LANGUAGE = 1500
@@ -298,7 +298,7 @@ def identify_languages(docs: DataFrame, model: LanguageModel, *, id_col: str = "
                 ["doc_id", "held_out", "lang_pred", "score", "n_spans"],
             )
 
-    return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, held_out boolean, lang_pred string, score double, n_spans int")
+    return spread(source).mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, held_out boolean, lang_pred string, score double, n_spans int")
 
 
 def known_language(docs: DataFrame, model: LanguageModel, *, text_col: str = "text") -> DataFrame:

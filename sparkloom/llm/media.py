@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkloom.llm.common import spread
+
 UNIT = 64
 PACKETS_A_CHUNK = 64
 KEY_EVERY = 16
@@ -210,4 +212,4 @@ def media_columns(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
             types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, types))], ["doc_id", *(x.split()[0] for x in SCHEMA.split(", "))])
 
-    return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, {SCHEMA}")
+    return spread(source).mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, {SCHEMA}")

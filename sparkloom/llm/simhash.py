@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import attach, materialize
+from sparkloom.llm.common import attach, materialize, spread
 
 SHINGLE = 3
 REACH = 3
@@ -58,7 +58,7 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
             fps = np.fromiter((fingerprint(t.as_py()) for t in batch.column(1)), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
-    return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, fp long")
+    return spread(source).mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, fp long")
 
 
 def _roots(n: int, left: np.ndarray, right: np.ndarray, root: np.ndarray | None = None) -> np.ndarray:

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkloom.llm.common import spread
+
 WHITE = "\t-\r \x85\xa0  -     　"
 UNIT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 CHUNK = 1 << 16
@@ -112,4 +114,4 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id"
             )
 
     id_type = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(run, f"doc_id {id_type}, n_bytes long, n_tokens long, over_limit boolean")
+    return spread(source).mapInArrow(run, f"doc_id {id_type}, n_bytes long, n_tokens long, over_limit boolean")
