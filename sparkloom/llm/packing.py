@@ -1,8 +1,8 @@
 """Packing by lexical retrieval: BM25 neighbours fill a seed document's window.
 
 Documents are tokenised as they stream through a task and gathered into shards of bounded size. A shard has an
-inverted index of BM25 weights over token ids. Window by window, the first unused document is the seed: its heaviest
-terms query the index, and the best unused neighbours follow it until the window is full. The document at a window's
+inverted index of BM25 weights over token ids. Window by window, the first unused document is the seed: all its
+distinct terms query the index, and the best unused neighbours follow it until the window is full. The document at a window's
 end is cut there, and what is left of it seeds the next. Windows run on across a task's shards, so only a task's last
 window can be short.
 
@@ -28,8 +28,6 @@ from pyspark.sql import functions as F
 WINDOW = 4096
 END_ID = 2
 K1, B = 1.2, 0.75
-#: Terms of a seed that query the index, by BM25 weight; the query's length, not a cap on neighbours.
-QUERY_TERMS = 32
 #: Neighbours are looked at in blocks of so many, best first, until the window is full.
 LOOK = 32
 #: Tokens of a shard, about. One document may be longer; it then is a shard of its own.
@@ -163,18 +161,15 @@ class Bm25Shard:
         df = np.bincount(term, minlength=space)
         idf = np.log1p((self.n - df + 0.5) / (df + 0.5)).astype(np.float32)
         norm = K1 * (1 - B + B * length / max(1.0, float(length.mean()) if self.n else 1.0))
-        self.term, self.weight = term, idf[term] * tf * (K1 + 1) / (tf + norm[owner])
+        self.term, weight = term, idf[term] * tf * (K1 + 1) / (tf + norm[owner])
         order = np.argsort(term, kind="stable")
-        self.posting_doc, self.posting_weight = owner[order], self.weight[order]
+        self.posting_doc, self.posting_weight = owner[order], weight[order]
         self.starts = np.r_[0, np.cumsum(df)]
 
-    def scores(self, seed: int, query_terms: int = QUERY_TERMS) -> np.ndarray:
-        """BM25 score of every document of the shard for the seed's heaviest terms."""
+    def scores(self, seed: int) -> np.ndarray:
+        """BM25 score of every document of the shard for all distinct terms of the seed."""
         a, b = (self.ends[seed - 1] if seed else 0), self.ends[seed]
-        terms, weights = self.term[a:b], self.weight[a:b]
-        if len(terms) > query_terms:
-            terms = terms[np.argpartition(-weights, query_terms)[:query_terms]]
-        runs = [slice(self.starts[t], self.starts[t + 1]) for t in terms]
+        runs = [slice(self.starts[t], self.starts[t + 1]) for t in self.term[a:b]]
         return np.bincount(np.concatenate([self.posting_doc[r] for r in runs]), np.concatenate([self.posting_weight[r] for r in runs]), self.n)
 
 

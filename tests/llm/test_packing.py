@@ -81,3 +81,9 @@ def test_neighbours_share_a_window(spark):
     first = {r.doc_id // 10 for r in sorted(found, key=lambda r: (r.sequence_id, r.offset)) if r.sequence_id == 0 and r.start == 0}
     ordered = [r.doc_id // 10 for r in sorted(found, key=lambda r: (r.sequence_id, r.offset)) if r.sequence_id == 0][:4]
     assert 0 in first and ordered == [0] * 4
+
+
+def test_all_terms_of_a_long_seed_query():
+    seed = np.arange(200, dtype=np.uint32)
+    docs = [seed, *(np.array([t, 500 + t], np.uint32) for t in range(200))]
+    assert (Bm25Shard(docs).scores(0) > 0).all()
