@@ -85,7 +85,7 @@ def with_row_id(docs: DataFrame) -> tuple[DataFrame, str]:
     name = "_row"
     while name in docs.columns:
         name += "_"
-    row_id = F.concat_ws(":", "_metadata.file_name", F.col("_metadata.row_index").cast("string")).alias(name)
+    row_id = F.concat_ws(":", "_metadata.file_path", F.col("_metadata.row_index").cast("string")).alias(name)
     try:
         return docs.select("*", row_id), name
     except AnalysisException:
