@@ -11,9 +11,11 @@ gives no rows. Extra columns are ignored, and ``lang`` is read of training rows
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
@@ -36,6 +38,10 @@ MAX_WORDS = 400_000
 MAX_CHARS = 1 << 24
 WORDS_AT_ONCE = 1 << 19
 CELLS = 1 << 22
+LONG_TEXT = 1 << 22
+WORD = re.compile(r"\S+")
+#: A part of the hashes that holds more samples than this is counted by finer parts.
+MANY_SAMPLES = 8
 
 #: First code point of a range and the script from there on.
 SCRIPT_RANGES = [
@@ -135,12 +141,6 @@ class LanguageModel:
         self.words.update(zip(missing, rows.tolist()))
         self.chars += sum(map(len, missing))
 
-    def rows_of(self, words: list[str]) -> np.ndarray:
-        """Rows of ``scores`` for the words."""
-        self._room()
-        self._learn(set(words))
-        return np.fromiter(map(self.words.__getitem__, words), np.int32, len(words))
-
     def _room(self) -> None:
         if not self.filled or len(self.words) > MAX_WORDS or self.chars > MAX_CHARS:
             self.words, self.scores, self.filled, self.chars = {}, np.zeros((4096, len(self.languages)), np.float32), 1, 0
@@ -148,11 +148,14 @@ class LanguageModel:
     def label(self, texts: list[str | None]) -> list[np.ndarray]:
         """For each text, the language number of every word, -1 where a word has no letter."""
         if not self.languages:
-            return [np.full(len((t or "").split()), -1, np.int8) for t in texts]
-        found: list[np.ndarray] = [np.empty(0, np.int8)] * len(texts)
+            return [np.full(len((t or "").split()), -1, np.int32) for t in texts]
+        found: list[np.ndarray] = [np.empty(0, np.int32)] * len(texts)
         waiting: list[tuple[int, list[str]]] = []
         n = 0
         for i, text in enumerate(texts):
+            if text and len(text) > LONG_TEXT:
+                self._label_long(i, text, found)
+                continue
             words = (text or "").split()
             if waiting and n + len(words) > WORDS_AT_ONCE:
                 self._label(waiting, found)
@@ -163,17 +166,40 @@ class LanguageModel:
         self._label(waiting, found)
         return found
 
+    def _rows(self, words: list[str]) -> np.ndarray:
+        """Rows of ``scores`` for words that have been learned."""
+        return np.fromiter(map(self.words.__getitem__, words), np.int32, len(words))
+
+    def rows_of(self, words: list[str]) -> np.ndarray:
+        """Rows of ``scores`` for the words."""
+        self._room()
+        self._learn(set(words))
+        return self._rows(words)
+
     def _label(self, texts: list[tuple[int, list[str]]], found: list[np.ndarray]) -> None:
-        """Texts for which one language throughout is best are done at once: any switch costs more than its loss."""
         self._room()
         self._learn(set().union(*(words for _, words in texts)))
+        self._paths([(i, self._rows(words)) for i, words in texts], found)
+
+    def _label_long(self, i: int, text: str, found: list[np.ndarray]) -> None:
+        """A text whose words are too many to hold as strings: as rows of scores they take four bytes each."""
+        self._room()
+        rows: list[np.ndarray] = []
+        matches = WORD.finditer(text)
+        while words := [m[0] for m in islice(matches, WORDS_AT_ONCE)]:
+            self._learn(set(words))
+            rows.append(self._rows(words))
+        if rows:
+            self._paths([(i, np.concatenate(rows))], found)
+
+    def _paths(self, texts: list[tuple[int, np.ndarray]], found: list[np.ndarray]) -> None:
+        """Texts for which one language throughout is best are done at once: any switch costs more than its loss."""
         hard = []
-        for i, words in texts:
-            r = np.fromiter(map(self.words.__getitem__, words), np.int32, len(words))
-            loss = self.scores[r].sum(axis=0)
+        for i, r in texts:
+            loss = sum((self.scores[r[at : at + WORDS_AT_ONCE]].sum(axis=0) for at in range(0, len(r), WORDS_AT_ONCE)), np.zeros(len(self.languages), np.float32))
             top = int(loss.argmax())
             if loss[top] >= -SWITCH_PENALTY:
-                found[i] = np.where(r == 0, -1, top).astype(np.int8)
+                found[i] = np.where(r == 0, -1, top).astype(np.int32)
             else:
                 hard.append((i, r))
         hard.sort(key=lambda x: len(x[1]))
@@ -186,31 +212,50 @@ class LanguageModel:
         if block:
             self._viterbi(block, found)
 
+    def _forward(self, rows: np.ndarray, scores: np.ndarray, best: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each step, which states may be stayed in and the best one before it; and the scores after the last."""
+        langs, docs = best.shape
+        stays = np.empty((len(rows), langs, docs), bool)
+        tops = np.empty((len(rows), docs), np.int32)
+        best = best.copy()
+        low = np.float32(-SWITCH_PENALTY)
+        for t in range(len(rows)):
+            np.greater_equal(best, low, out=stays[t])
+            tops[t] = best.argmax(axis=0)
+            np.maximum(best, low, out=best)
+            best += scores.take(rows[t], axis=1)
+            best -= best.max(axis=0)
+        return stays, tops, best
+
     def _viterbi(self, block: list[tuple[int, np.ndarray]], found: list[np.ndarray]) -> None:
-        """Best paths of a block of texts, all of them a word further at each step."""
+        """Best paths of a block of texts, all of them a word further at each step.
+
+        A text of more steps than CELLS allows goes forward once for the scores at every so many steps, and backward
+        over these stretches, each computed again: the same paths, in bounded memory.
+        """
         lengths = np.array([len(r) for _, r in block])
         steps, docs, langs = int(lengths.max()), len(block), len(self.languages)
         rows = np.zeros((steps, docs), np.int32)
         for k, (_, r) in enumerate(block):
             rows[: len(r), k] = r
         scores = np.ascontiguousarray(self.scores[: self.filled].T)
-        stays = np.empty((steps, langs, docs), bool)
-        tops = np.empty((steps, docs), np.int8)
+        stretch = max(1, min(steps, CELLS // (langs * docs)))
+        starts = range(0, steps, stretch)
         best = np.zeros((langs, docs), np.float32)  # relative to the best: a switch starts from -penalty
-        low = np.float32(-SWITCH_PENALTY)
-        for t in range(steps):
-            np.greater_equal(best, low, out=stays[t])
-            tops[t] = best.argmax(axis=0)
-            np.maximum(best, low, out=best)
-            best += scores.take(rows[t], axis=1)
-            best -= best.max(axis=0)
-        labels = np.empty((steps, docs), np.int8)
-        state = best.argmax(axis=0).astype(np.int8)
+        bests = []
+        for at in starts:
+            bests.append(best)
+            stays, tops, best = self._forward(rows[at : at + stretch], scores, best)
+        labels = np.empty((steps, docs), np.int32)
+        state = best.argmax(axis=0).astype(np.int32)
         # beyond a text's end the words score nothing and the best state stays, so walking back through them keeps it
         each = np.arange(docs)
-        for t in range(steps - 1, -1, -1):
-            labels[t] = state
-            state = np.where(stays[t][state, each], state, tops[t])
+        for at, before in zip(reversed(starts), reversed(bests)):
+            if at != starts[-1]:
+                stays, tops, _ = self._forward(rows[at : at + stretch], scores, before)
+            for t in range(len(stays) - 1, -1, -1):
+                labels[at + t] = state
+                state = np.where(stays[t][state, each], state, tops[t])
         labels[rows == 0] = -1
         for k, (i, r) in enumerate(block):
             found[i] = labels[: len(r), k].copy()
@@ -240,20 +285,52 @@ class LanguageModel:
         return names, scores, spans
 
 
+def _sample_limits(known: DataFrame, sample: int) -> dict[str, int]:
+    """For each language the hash up to which its ``sample`` smallest lie. known: lang, h.
+
+    Rows are counted by leading bits of the hash, finer where a part holds many, so that only counts are shuffled and
+    a language with most of all rows is no task of its own; the last few thousand hashes are ranked exactly.
+    """
+    ahead = F.sum("n").over(Window.partitionBy("lang").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    shift, parts, before = 48, known.select("lang", "h"), {}
+    while True:
+        counts = parts.groupBy("lang", F.shiftright("h", shift).alias("part")).agg(F.count(F.lit(1)).alias("n"))
+        crossing = counts.withColumn("ahead", F.coalesce(ahead, F.lit(0)) + _by_language(before, 0)).where(F.col("ahead") < sample)
+        last = crossing.groupBy("lang").agg(F.max_by(F.struct("part", "n", "ahead"), "part").alias("last")).select("lang", "last.*").collect()
+        ends = {r["lang"]: r["part"] for r in last}
+        if shift == 0:
+            return ends
+        many = [r for r in last if r["n"] > MANY_SAMPLES * sample]
+        if not many:
+            bound = known.select("lang", "h").where(F.shiftright("h", shift) <= _by_language(ends, None))
+            hashes = bound.groupBy("lang", F.col("h").alias("part")).agg(F.count(F.lit(1)).alias("n")).withColumn("ahead", F.coalesce(ahead, F.lit(0)))
+            return {r["lang"]: r["h"] for r in hashes.where(F.col("ahead") < sample).groupBy("lang").agg(F.max("part").alias("h")).collect()}
+        # only the part in which the sample ends is looked at more closely
+        before = {r["lang"]: r["ahead"] for r in last}
+        parts = parts.where(F.shiftright("h", shift) == _by_language(ends, None))
+        shift = max(0, shift - 16)
+
+
+def _by_language(values: dict, default: int | None) -> Column:
+    if not values:
+        return F.lit(default)
+    found = F.element_at(F.create_map(*[F.lit(x) for kv in values.items() for x in kv]), F.col("lang"))
+    return found if default is None else F.coalesce(found, F.lit(default))
+
+
 def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE_A_LANGUAGE) -> LanguageModel:
     """Fit on a documented sample: the ``sample`` labelled rows of each language with the smallest id hash.
 
-    Two scans: one of ids and labels for the hash below which a language's sample lies, one of the sampled texts,
+    Scans of ids and labels find the hash below which a language's sample lies; one of the sampled texts follows,
     which leave their tasks as bucket counts. The driver gets one row a language, then BUCKETS counts for each at most.
+    Rows of equal ids are in or out together.
     """
-    known = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang")).where(~held_out(F.col("id")) & F.col("lang").isNotNull())
+    known = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where(~held_out(F.col("id")) & F.col("lang").isNotNull())
     known = known.withColumn("h", F.xxhash64(F.col("id").cast("string"), F.lit("sample")))
-    ranked = known.select("lang", "h").withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("r") <= sample)
-    limits = {r["lang"]: r["h"] for r in ranked.groupBy("lang").agg(F.max("h").alias("h")).collect()}
+    limits = _sample_limits(known, sample)
     if not limits:
         return fit([], [], [], [])
-    below = F.element_at(F.create_map(*[F.lit(x) for kv in limits.items() for x in kv]), F.col("lang"))
-    chosen = known.where(F.col("h") <= below).select("lang", "text")
+    chosen = known.where(F.col("h") <= _by_language(limits, None)).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, np.ndarray] = {}

@@ -1,7 +1,10 @@
 import random
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
+from sparkloom.llm import langid
 from sparkloom.llm.langid import SCRIPTS, SWITCH_PENALTY, held_out, identify_languages, known_language, scripts_of, train
 
 WORDS = {
@@ -80,3 +83,50 @@ def test_held_out_rows_are_not_learned_from(spark):
 
 def test_scripts():
     assert [SCRIPTS[i] for i in scripts_of(np.array([ord(c) for c in "aßжαש中あ한"]))] == ["Latin", "Latin", "Cyrillic", "Greek", "Hebrew", "Han", "Kana", "Hangul"]
+
+
+def test_three_hundred_languages(spark):
+    """Each language has words of its own letters in an order of its own; none is lost to the width of a number."""
+    rng = random.Random(3)
+    words = {f"l{k:03d}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8)) for _ in range(12)] for k in range(300)}
+    data = [(i, " ".join(rng.choices(words[lang], k=20)), lang) for i, lang in enumerate(sorted(words) * 4)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    model = train(df)
+    assert len(model.languages) == 300
+    found = {r.doc_id: r.lang_pred for r in identify_languages(df, model).collect()}
+    learned = set(model.languages)
+    assert "und" not in found.values()
+    assert all(found[i] == lang for i, _, lang in data if lang in learned)
+    text = " ".join(words["l299"] + words["l007"] + words["l200"])
+    assert [name for _, _, name in model.spans(text)] == ["l299", "l007", "l200"]
+
+
+def test_long_texts_take_the_same_path_in_bounded_memory(spark, monkeypatch):
+    model = train(spark.createDataFrame(corpus(), "doc_id long, text string, lang string, source string"))
+    rng = random.Random(9)
+    text = " ".join(w for k in range(300) for w in rng.choices(WORDS[rng.choice(list(WORDS))], k=rng.randrange(1, 20)))
+    (whole,) = model.label([text])
+    for cells, long_text in ((50, langid.LONG_TEXT), (50, 100), (langid.CELLS, 100)):
+        monkeypatch.setattr(langid, "CELLS", cells)
+        monkeypatch.setattr(langid, "LONG_TEXT", long_text)
+        monkeypatch.setattr(langid, "WORDS_AT_ONCE", 64)
+        (found,) = model.label([text])
+        assert (found == whole).all()
+    assert [*map(len, model.label(["", None, " \n ", "x " * 100]))] == [0, 0, 0, 100]
+
+
+@pytest.mark.parametrize("many", [8, 0])
+def test_the_sample_is_the_rows_of_smallest_hash(spark, monkeypatch, many):
+    monkeypatch.setattr(langid, "MANY_SAMPLES", many)
+    known = spark.range(4000).select(F.when(F.col("id") % 4 == 0, "b").otherwise("a").alias("lang"), F.xxhash64("id").alias("h"))
+    hashes = {}
+    for r in known.collect():
+        hashes.setdefault(r.lang, []).append(r.h)
+    assert langid._sample_limits(known, 50) == {k: sorted(v)[49] for k, v in hashes.items()}
+    assert langid._sample_limits(known, 2000) == {"a": sorted(hashes["a"])[1999], "b": max(hashes["b"])}
+
+
+def test_a_language_is_no_task_of_its_own(spark):
+    """A third of all rows and more have one language, many of them one id: what is shuffled are counts."""
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("doc_id"), F.lit("the house").alias("text"), F.lit("en").alias("lang"))
+    assert train(df).languages == ["en"]
