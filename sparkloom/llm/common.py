@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import re
+import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -18,26 +23,81 @@ WORD = r"[^\x20\x09-\x0D]+"
 SALTS = 256
 
 _own_dir: str | None = None
+#: Tables written by this driver and not yet dropped; sessions to drop them with.
+_tables: dict[str, SparkSession] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that every executor can read: ``spark.checkpoint.dir``, or a temporary one where that is unset."""
+    """Folder that every executor can read: ``spark.checkpoint.dir``. Only a local master has one of its own without it."""
     global _own_dir
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError(f"spark.checkpoint.dir is unset: executors of {master} need a folder that all of them can read")
     if _own_dir is None:
         _own_dir = tempfile.mkdtemp(prefix="sparkloom-shared-")
+        atexit.register(shutil.rmtree, _own_dir, ignore_errors=True)
     return _own_dir
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends there and a lost executor costs no recomputation."""
-    path = f"{shared_dir(df.sparkSession)}/tables/{uuid.uuid4().hex}/{name}"
+def new_table(spark: SparkSession, name: str) -> str:
+    """Path of a table below the shared folder, noted so that it can be dropped."""
+    path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}/{name}"
+    _tables[path] = spark
+    return path
+
+
+def materialize(df: DataFrame, name: str, kept: set[str] | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: lineage ends there and a lost executor costs no recomputation.
+
+    ``kept``, of ``passing_tables``, gets the table's path.
+    """
+    path = new_table(df.sparkSession, name)
     df.write.parquet(path)
+    if kept is not None:
+        kept.add(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_tables(paths: Iterable[str]) -> None:
+    """Delete tables of ``new_table`` with their folders."""
+    for path in paths:
+        spark = _tables.pop(path, None)
+        if spark is not None:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
+            folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
+@atexit.register
+def _drop_at_exit() -> None:
+    """What is left at the driver's end. A result that is still read later must be written by then."""
+    for path in list(_tables):
+        if path.startswith(("/", "file:")):
+            shutil.rmtree(os.path.dirname(re.sub(r"^file:/*", "/", path)), ignore_errors=True)
+        else:
+            try:
+                drop_tables([path])
+            except Exception:  # noqa: BLE001 - the session may be gone; its tables then stay
+                return
+
+
+def tables() -> set[str]:
+    """Paths of the tables that this driver has written and not dropped."""
+    return set(_tables)
+
+
+@contextmanager
+def passing_tables() -> Iterator[set[str]]:
+    """What is materialised inside is dropped at the end, but for the paths that are added to the set given."""
+    before, kept = tables(), set()
+    try:
+        yield kept
+    finally:
+        drop_tables(tables() - before - kept)
+
+
 def byte_length(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
 
@@ -90,3 +150,12 @@ def with_row_id(docs: DataFrame) -> tuple[DataFrame, str]:
         return docs.select("*", row_id), name
     except AnalysisException:
         return materialize(docs, "rows").select("*", row_id), name
+
+
+def row_name(docs: DataFrame) -> Column:
+    """A string that names each row: its place in the files of a scan; a number, good for one job, in any other plan."""
+    try:
+        docs.select("_metadata.row_index")
+    except AnalysisException:
+        return F.monotonically_increasing_id().cast("string")
+    return F.concat_ws(":", "_metadata.file_path", F.col("_metadata.row_index").cast("string"))
