@@ -21,13 +21,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import attach, materialize, spread
+from sparkloom.llm.common import attach, drop_tables, materialize, passing_tables, spread
 
 SHINGLE = 3
 REACH = 3
 SEED = 42
 PIVOTS = np.random.default_rng(64).integers(0, 2**64, 24, dtype=np.uint64)
 SMALL_GROUP = 1024
+#: Fingerprints of one key that a task takes at once.
+HOT_KEY = 1 << 18
 HASHES_AT_ONCE = 1 << 16
 
 
@@ -139,6 +141,17 @@ def block_keys(fp: Column) -> Column:
     return F.array(*keys)
 
 
+def other_keys(fp: Column) -> Column:
+    """Keys by which rows of one of ``block_keys`` are cut further: every fourth bit instead of neighbouring ones."""
+    keys = []
+    for i in range(4):
+        quarter = sum(1 << b for b in range(64) if b % 4 == i)
+        for j in range(4):
+            mask = quarter | sum(1 << b for b in range(64) if b % 4 != i and b // 4 % 4 == j)
+            keys.append(F.xxhash64(F.lit(i * 4 + j), fp.bitwiseAND(F.lit(mask - (1 << 64) if mask >= 1 << 63 else mask))))
+    return F.array(*keys)
+
+
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (key, fp) sorted by key, in; spanning links, out. A key's rows may cross batches."""
     kept_key, kept_fp = np.empty(0, np.int64), np.empty(0, np.int64)
@@ -166,43 +179,62 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield solve(kept_key, kept_fp)
 
 
-def near_links(distinct: DataFrame) -> DataFrame:
-    """(u, v): links that connect all fingerprints (column fp, distinct) within reach of one another."""
-    keyed = distinct.select(F.explode(block_keys(F.col("fp"))).alias("key"), "fp")
-    return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_links, "u long, v long")
+def near_links(distinct: DataFrame, hot: int = HOT_KEY) -> DataFrame:
+    """(u, v): links that connect all fingerprints (column fp, distinct) within reach of one another.
+
+    Keys of more than ``hot`` fingerprints are few, since each has that many. Their groups are cut before they meet: two
+    fingerprints within reach agree on one of four quarters of the bits, whatever else they agree on, and on one of four
+    parts of the other three quarters, so a group's rows meet again under 16 longer keys of other bits.
+    """
+    keyed = distinct.select(F.explode(block_keys(F.col("fp"))).alias("key"), "fp").withColumn("more", F.lit(0).cast("long"))
+    if distinct.count() > hot:  # else no key can have as many
+        large = materialize(keyed.groupBy("key").count().where(F.col("count") > hot).select("key", F.lit(True).alias("large")), "hot")
+        marked = attach(keyed, large, ["key"], "fp")
+        cut = marked.where("large").select("key", "fp", F.explode(other_keys(F.col("fp"))).alias("more"))
+        keyed = marked.where("large IS NULL").select("key", "fp", "more").unionByName(cut)
+    return keyed.repartition("key", "more").select(F.xxhash64("key", "more").alias("key"), "fp").sortWithinPartitions("key").mapInArrow(_links, "u long, v long")
 
 
-def connected_components(links: DataFrame) -> DataFrame:
+def connected_components(links: DataFrame, kept: set[str] | None = None) -> DataFrame:
     """(node, root) of every node of a link: large-star and small-star rounds until nothing changes.
 
-    Rounds shuffle the links of the still open forest only, and are cut by a table in the shared folder.
+    Rounds shuffle the links of the still open forest only, and are cut by a table in the shared folder; the last one's
+    path is added to ``kept``. A node of many links is joined by parts.
     """
-    edges = materialize(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "edges")
-
-    def sign(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-
-    seen = sign(edges)
-    while seen[0]:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(lowest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(lowest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(lowest.select("u", F.col("m").alias("v")))
-        edges = materialize(small.where("u <> v").distinct(), "edges")
-        now = sign(edges)
-        if now == seen:
-            break
-        seen = now
+    with passing_tables() as last:
+        edges = materialize(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "edges", last)
+
+        def sign(e: DataFrame) -> tuple:
+            return tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+        seen = sign(edges)
+        while seen[0]:
+            both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+            large = attach(both, lowest, ["u"], "v").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+            lowest = large.groupBy("u").agg(F.min("v").alias("m"))
+            small = attach(large, lowest, ["u"], "v").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(lowest.select("u", F.col("m").alias("v")))
+            former = set(last)
+            last.clear()
+            edges = materialize(small.where("u <> v").distinct(), "edges", last)
+            drop_tables(former)
+            now = sign(edges)
+            if now == seen:
+                break
+            seen = now
+        if kept is not None:
+            kept |= last
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id."""
-    prints = materialize(fingerprints(docs, id_col=id_col, text_col=text_col), "prints")
-    distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct")
-    roots = connected_components(near_links(distinct.select("fp")))
-    owned = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+    with passing_tables() as kept:
+        prints = fingerprints(docs, id_col=id_col, text_col=text_col).withColumn("row", F.monotonically_increasing_id())
+        prints = materialize(prints, "prints", kept)  # written once: from here on a row's number is a fact
+        distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct")
+        roots = connected_components(near_links(distinct.select("fp")))
+        owned = materialize(distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("root", "fp").alias("root")), "owned", kept)
     lows = owned.groupBy("root").agg(F.min("low").alias("component_id"))
-    found = attach(prints, owned.select("fp", "root").join(lows, "root").select("fp", "component_id"), ["fp"], "doc_id")
+    found = attach(prints, owned.select("fp", "root").join(lows, "root").select("fp", "component_id"), ["fp"], "row")
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -1,10 +1,12 @@
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import xxhash
 
-from sparkloom.llm.simhash import REACH, linked_roots, near_duplicates
+from sparkloom.llm.common import drop_tables, tables
+from sparkloom.llm.simhash import REACH, linked_roots, near_duplicates, near_links
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -82,3 +84,50 @@ def test_large_groups_split_exactly():
             break
         want = low
     assert (roots == want).all()
+
+
+def test_hot_keys_are_cut_exactly(spark):
+    """All fingerprints share their upper half, so that eight tables have one key for all of them."""
+    rng = np.random.default_rng(6)
+    fps, top = set(), 0xABCDEF01 << 32
+    while len(fps) < 400:
+        x = top | int(rng.integers(0, 2**32))
+        fps.add(x)
+        for _ in range(4):
+            x ^= 1 << int(rng.integers(0, 32))
+            x ^= 1 << int(rng.integers(0, 32))
+            fps.add(x)
+    own = np.array(sorted(fps), np.uint64)
+    df = spark.createDataFrame([(int(x),) for x in own.view(np.int64)], "fp long")
+    roots = brute_components([int(x) for x in own])
+    want = {(int(own[i].view(np.int64)), int(own[r].view(np.int64))) for i, r in enumerate(roots)}
+    for hot in (50, 10**6):
+        root = {}
+
+        def find(x):
+            while root.setdefault(x, x) != x:
+                x = root[x]
+            return x
+
+        for r in near_links(df, hot).collect():
+            assert (r.u ^ r.v).bit_count() <= 64
+            root[find(r.u)] = find(r.v)
+        groups = {}
+        for a, b in want:
+            groups.setdefault(b, set()).add(find(a))
+        assert all(len(g) == 1 for g in groups.values()) and len({find(a) for a, _ in want}) == len(groups)
+
+
+def test_a_fingerprint_with_a_third_of_all_rows(spark):
+    data = [(i if i % 7 else None, "one two three four" if i % 3 == 0 else f"w{i} x{i} y{i}") for i in range(900)]
+    found = near_duplicates(spark.createDataFrame(data, "doc_id long, text string"))
+    assert Counter(map(tuple, found.collect())) == expected(data)
+
+
+def test_nothing_is_left_after_a_run(spark, docs, tmp_path):
+    before = tables()
+    near_duplicates(docs).collect()
+    left = tables() - before
+    assert all(p.rsplit("/", 1)[1] in {"prints", "owned"} for p in left)
+    drop_tables(left)
+    assert tables() == before and not any(Path(p).exists() for p in left)
