@@ -4,8 +4,8 @@ Method: within a source, documents are ordered by size class and then by a hash;
 copies plus one random offset a source crosses integers, and each crossing emits the document once. Ordering by
 size bounds a source's error by about its largest document.
 
-Defined results: a null text has size 0; a null source is a source of its own, last in order; null ids are ordered
-first among equal hashes; repeated rows are sampled each on its own; an empty table gives an empty mix. Columns of
+Defined results: a null text has size 0; a null source is a source of its own, last in order; rows without an id are
+hashed by their place in the files; repeated rows are sampled each on its own; an empty table gives an empty mix. Columns of
 the input besides id, source and text are not read.
 """
 
@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import WORD, materialize
+from sparkloom.llm.common import WORD, materialize, passing_tables, row_name
 
 SUB_BUCKETS = 4096
 
@@ -79,19 +79,20 @@ def mix_sources(
     (source, size class, hash bucket) cells and a row number within a cell, so a source that holds a third of all
     rows is spread over thousands of cells.
     """
-    sized = materialize(
-        docs.select(
-            F.col(id_col).alias("doc_id"),
-            source_key(F.col(source_col)).alias("skey"),
-            F.col(source_col).cast("string").alias("source"),
-            word_count(F.col(text_col)).alias("size"),
-            hash32(F.col(id_col)).alias("h"),
-            *([F.col(row_col).alias("row")] if row_col else []),
+    with passing_tables() as kept:
+        sized = materialize(
+            docs.select(
+                F.col(id_col).alias("doc_id"),
+                source_key(F.col(source_col)).alias("skey"),
+                word_count(F.col(text_col)).alias("size"),
+                hash32(F.coalesce(F.col(id_col).cast("string"), row_name(docs))).alias("h"),
+                *([F.col(row_col).alias("row")] if row_col else []),
+            )
+            .withColumn("cls", size_class(F.col("size")))
+            .withColumn("sub", F.floor(F.col("h") / F.lit(2**32 // SUB_BUCKETS)).cast("int")),
+            "sized",
+            kept,
         )
-        .withColumn("cls", size_class(F.col("size")))
-        .withColumn("sub", F.floor(F.col("h") / F.lit(2**32 // SUB_BUCKETS)).cast("int")),
-        "sized",
-    )
     cells = sized.groupBy("skey", "cls", "sub").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words"))
     sources = cells.groupBy("skey").agg(F.sum("words").alias("source_size"), F.sum("n").alias("source_docs"))
     named = sources.withColumn("source", F.when(F.col("skey") != "", F.expr("substring(skey, 2)")))
@@ -106,7 +107,7 @@ def mix_sources(
     return ranked.withColumn("copies", copies).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", *(["row"] if row_col else []))
 
 
-#: DuckDB form of :func:`mix_sources` over ``documents`` with its default parameters.
+#: DuckDB form of :func:`mix_sources` over ``documents``, where every row has an id, with its default parameters.
 MIX_SQL = r"""
 WITH sized AS (
   SELECT doc_id, coalesce('=' || source, '') AS skey, source,
