@@ -20,8 +20,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from sparkloom.llm.common import slices, spread
 
@@ -378,15 +380,24 @@ def identify_languages(docs: DataFrame, model: LanguageModel, *, id_col: str = "
     return spread(source).mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, held_out boolean, lang_pred string, score double, n_spans int")
 
 
-def known_language(docs: DataFrame, model: LanguageModel, *, text_col: str = "text") -> DataFrame:
-    """The rows, all columns as they are, whose text has a language; ``und`` rows go. One pass, no join."""
+def known_language(docs: DataFrame, model: LanguageModel, *, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows whose text has a language; ``und`` rows go. One pass, no join.
+
+    All columns stay as they are, but that a null in ``lang_col``, where there is such a column of strings, becomes the
+    language found: what is stated is never overruled.
+    """
     at = docs.columns.index(text_col)
+    filled = docs.columns.index(lang_col) if lang_col in docs.columns and docs.schema[lang_col].dataType == StringType() else -1
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shipped.value
         for batch in slices(batches):
             names, _, _ = m.predict(batch.column(at).to_pylist())
+            if filled >= 0:
+                column = batch.column(filled)
+                columns = [*batch.columns[:filled], pc.coalesce(column, pa.array(names, column.type)), *batch.columns[filled + 1 :]]
+                batch = pa.RecordBatch.from_arrays(columns, schema=batch.schema)
             yield batch.filter(pa.array([n != "und" for n in names], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
