@@ -1,8 +1,10 @@
 """Main text of HTML pages: flat text blocks, classified by a decision tree.
 
-A page is cut into blocks at block-level tags. Each block has its word count and link density, those of the blocks
-before and after it, and what its open elements say (article, boilerplate, content, heading). A small labelled table,
-below, trains the tree when the module is first used.
+A page is cut into blocks at block-level tags, in time linear in its length. Each block has its word count and link
+density, those of the blocks before and after it, whether it ends as a sentence does, and where it stands: in an article,
+beside one, in a heading, in an element named for content. An element whose tag or name speaks of menus, notices, adverts
+or comments is no verdict: the block has that element's share of the page's words, and what holds most of a page can't be
+that. The tree is grown when the module is first used, from the blocks of the pages in ``labelled_pages``.
 
 Defined results: a null or empty html gives an empty text; unclosed and crossed tags, truncated pages and bare text are
 read as far as they go; repeated rows are treated alike; an empty table gives no rows. Extra columns are ignored.
@@ -21,12 +23,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.llm.common import spread
+from sparkloom.llm.labelled_pages import PAGES
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^<>"']*(?:"[^"]*"[^<>"']*|'[^']*'[^<>"']*)*)>""", re.S)
-NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*((?P<q>[\"']).*?(?P=q)|[^\s\"'>]+)", re.I | re.S)
+ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 PIECE = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
-HIDDEN_MARK = re.compile(r"display\s*:\s*none|(?<![-\w])hidden(?=[\s=]|$)", re.I)
+HIDDEN_STYLE = re.compile(r"display\s*:\s*none", re.I)
+#: Names with one of these say how an element is or what it lacks, not what it is.
+STATES = set("no not has have with without is ready enabled disabled active inactive open closed on off target".split())
 #: Elements whose content isn't text of the page.
 OPAQUE = {"script", "style", "head", "title", "noscript", "template", "svg", "iframe", "object", "canvas", "audio", "video", "math", "textarea", "select", "datalist"}
 RAW = {"script", "style", "title", "textarea", "iframe"}
@@ -50,34 +55,108 @@ class Block(NamedTuple):
     words: int
     density: float
     article: bool
-    boiler: bool
     content: bool
     heading: bool
-
-
-def blocks_of(html: str | None) -> list[Block]:
-    """Text blocks in page order."""
+    #: Number of the innermost element around it that speaks of boilerplate; -1: none.
+    mark: int
+
+
+class Open(NamedTuple):
+    """An open element, with what is around it."""
+
+    name: str
+    article: bool = False
+    content: bool = False
+    mark: int = -1
+
+
+class Page(NamedTuple):
+    blocks: list[Block]
+    #: Words in each element that speaks of boilerplate.
+    marked: list[int]
+
+
+class _Reader:
+    """Open elements with the places of each name, so that no tag looks through all of them."""
+
+    def __init__(self) -> None:
+        self.stack: list[Open] = []
+        self.places: dict[str, list[int]] = {}
+        self.opaque: list[int] = []
+        self.headings = 0
+        #: For each marked element, the one around it and the words within it alone.
+        self.around: list[int] = []
+        self.own: list[int] = []
+
+    def push(self, element: Open) -> None:
+        self.places.setdefault(element.name, []).append(len(self.stack))
+        if element.name in OPAQUE:
+            self.opaque.append(len(self.stack))
+        self.headings += element.name in HEADINGS
+        self.stack.append(element)
+
+    def pop(self) -> str:
+        name = self.stack.pop().name
+        self.places[name].pop()
+        if self.opaque and self.opaque[-1] == len(self.stack):
+            self.opaque.pop()
+        self.headings -= name in HEADINGS
+        return name
+
+    def close(self, name: str) -> None:
+        places = self.places.get(name)
+        if places:
+            last = places[-1]
+            while len(self.stack) > last:
+                self.pop()
+
+    def show_all(self) -> None:
+        """Elements whose content isn't text end here."""
+        self.opaque.clear()
+
+    def enter(self, name: str, attributes: str) -> None:
+        around = self.stack[-1] if self.stack else Open("")
+        content, boiler = _names(name, attributes)
+        boiler = boiler or name in BOILER_TAGS or (name == "header" and not around.article)
+        mark = around.mark
+        if boiler:
+            self.around.append(mark)
+            self.own.append(0)
+            mark = len(self.own) - 1
+        self.push(Open(name, around.article or name in SECTIONS, around.content or content, mark))
+
+    def words(self) -> list[int]:
+        """Words of each marked element, those of the marked elements in it included: inner ones come later."""
+        total = list(self.own)
+        for k in range(len(total) - 1, -1, -1):
+            if self.around[k] >= 0:
+                total[self.around[k]] += total[k]
+        return total
+
+
+def read_page(html: str | None) -> Page:
+    """Text blocks in page order, and the marked elements around them."""
     source = html or ""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # name, article, boilerplate, content: each with what is around it
+    page = _Reader()
     parts: list[str] = []
     links: list[str] = []
     anchors = 0
-    heading = False
-    opaque = 0
     at = 0
 
     def flush() -> None:
-        nonlocal parts, links, heading
+        nonlocal parts, links
         words = "".join(parts).split()
         if words:
-            _, article, boiler, content = stack[-1] if stack else ("", False, False, False)
+            around = page.stack[-1] if page.stack else Open("")
             linked = len("".join(links).split())
-            out.append(Block(" ".join(words), len(words), min(1.0, linked / len(words)), article, boiler, content, heading))
+            out.append(Block(" ".join(words), len(words), min(1.0, linked / len(words)), around.article, around.content, page.headings > 0, around.mark))
+            if around.mark >= 0:
+                page.own[around.mark] += len(words)
         parts, links = [], []
 
     def say(raw: str) -> None:
-        if raw and not opaque:
+        if raw and not page.opaque:
             text = html_lib.unescape(raw) if "&" in raw else raw
             parts.append(text)
             if anchors:
@@ -89,22 +168,18 @@ def blocks_of(html: str | None) -> list[Block]:
         if not m[2]:
             continue
         name, closing = m[2].lower(), m[1]
-        if name in BLOCK and not opaque:
+        if name in BLOCK and not page.opaque:
             flush()
         if closing:
-            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), -1)
-            if k >= 0:
-                opaque -= sum(x[0] in OPAQUE for x in stack[k:])
-                del stack[k:]
+            page.close(name)
             if name == "a" and anchors:
                 anchors -= 1
                 links.append(" ")
-            heading = any(x[0] in HEADINGS for x in stack)
             continue
         if name in VOID:
             continue
         if name in RAW:
-            end = re.compile(rf"</{name}\s*>", re.I).search(source, at)
+            end = _raw_end(name).search(source, at)
             at = end.end() if end else len(source)
             continue
         if name == "a":
@@ -113,22 +188,22 @@ def blocks_of(html: str | None) -> list[Block]:
         if m[3].rstrip().endswith("/") and name not in BLOCK:
             continue
         if name == "body":  # a head that was never closed ends here
-            opaque -= sum(x[0] in OPAQUE for x in stack)
-            stack = [x for x in stack if x[0] not in OPAQUE]
+            page.show_all()
         if name in IMPLIED:
-            while stack and stack[-1][0] in INLINE | IMPLIED[name]:
-                ended = stack.pop()[0]
-                if ended in IMPLIED[name]:
+            while page.stack and page.stack[-1].name in INLINE | IMPLIED[name]:
+                if page.pop() in IMPLIED[name]:
                     break
         if name in BLOCK or name in OPAQUE:
-            if name not in INLINE and name != "p" and anchors and name in SECTIONS | BOILER_TAGS:
+            if anchors and name in SECTIONS | BOILER_TAGS:
                 anchors = 0
-            stack.append((name, *_marks(name, m[3], stack[-1] if stack else None)))
-            opaque += name in OPAQUE
-            heading = heading or name in HEADINGS
+            page.enter(name, m[3])
     say(source[at:])
     flush()
-    return out
+    return Page(out, page.words())
+
+
+def blocks_of(html: str | None) -> list[Block]:
+    return read_page(html).blocks
 
 
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
@@ -136,39 +211,48 @@ INLINE = {"b", "i", "em", "strong", "span"}
 IMPLIED = {"p": {"p"}, "li": {"li"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}}
 
 
-def _marks(name: str, attributes: str, around: tuple | None) -> tuple[bool, bool, bool]:
-    _, article, boiler, content = around or ("", False, False, False)
-    said: set[str] = set()
+@lru_cache(maxsize=None)
+def _raw_end(name: str) -> re.Pattern:
+    return re.compile(rf"</{name}\s*>", re.I)
+
+
+@lru_cache(maxsize=4096)
+def _said(value: str) -> tuple[bool, bool]:
+    """Whether a class, id or role speaks of content, and of boilerplate."""
+    content = boiler = False
+    for token in value.split():
+        said = set(PIECE.findall(CAMEL.sub(" ", token).lower()))
+        if not said & STATES:
+            content, boiler = content or bool(said & CONTENT_WORDS), boiler or bool(said & BOILER_WORDS)
+    return content, boiler
+
+
+def _names(name: str, attributes: str) -> tuple[bool, bool]:
+    content = boiler = False
     if attributes and name not in ("html", "body"):
-        for value, _ in NAMES.findall(attributes):
-            said.update(PIECE.findall(CAMEL.sub(" ", value).lower()))
-        if HIDDEN_MARK.search(attributes):
-            boiler = True
-    if name in SECTIONS:
-        said &= {"comment", "comments", "reply", "teaser", "related", "promo", "ad", "ads", "sponsored"} | CONTENT_WORDS
-    boiler = boiler or name in BOILER_TAGS or (name == "header" and not article) or bool(said & BOILER_WORDS)
-    return article or name in SECTIONS, boiler, content or bool(said & CONTENT_WORDS)
-
-
-FEATURES = ("words", "density", "words_before", "density_before", "words_after", "density_after", "article", "boiler", "content", "heading", "outside")
-
-#: The labelled table: blocks as seen, each beside the neighbours it was seen with.
-#: words before, density before, words after, density after
-_BESIDE = [(0, 0.0, 0, 0.0), (0, 0.0, 60, 0.0), (60, 0.0, 0, 0.0), (40, 0.0, 2, 0.0), (2, 0.0, 50, 0.0), (3, 1.0, 3, 1.0), (1, 1.0, 70, 0.0), (80, 0.0, 1, 1.0), (6, 0.3, 6, 0.3), (1, 0.0, 1, 0.0)]
-_LONG_BESIDE = [n for n in _BESIDE if max(n[0], n[2]) >= 40]
-_SHORT_BESIDE = [n for n in _BESIDE if max(n[0], n[2]) < 40]
-#: words, density, article, boiler, content, heading, outside (the page has an article, elsewhere); neighbours; main text
-_SEEN = [
-    *[((w, d, 1, 0, c, h, 0), _BESIDE, 1) for w, d, c, h in [(1, 0.0, 0, 0), (3, 0.0, 1, 0), (4, 1.0, 0, 0), (8, 0.0, 0, 1), (12, 0.4, 0, 0), (45, 0.0, 1, 0), (120, 0.1, 0, 0), (900, 0.0, 0, 0)]],
-    *[((w, d, a, 1, c, h, 0), _BESIDE, 0) for w, d, a, c, h in [(1, 1.0, 0, 0, 0), (9, 0.0, 1, 0, 0), (30, 0.0, 1, 1, 0), (5, 0.0, 0, 0, 1), (70, 0.0, 0, 0, 0), (300, 0.0, 0, 1, 0)]],
-    *[((w, d, 0, b, c, h, 1), _BESIDE, 0) for w, d, b, c, h in [(1, 1.0, 1, 0, 0), (12, 0.0, 1, 0, 0), (35, 0.0, 0, 0, 0), (5, 0.0, 0, 0, 1), (90, 0.0, 0, 1, 0), (400, 0.0, 1, 0, 0)]],
-    *[((w, d, 0, 0, 1, h, 0), _BESIDE, 1) for w, d, h in [(1, 0.0, 0), (2, 0.0, 1), (7, 0.2, 0), (14, 0.4, 0), (60, 0.0, 0), (500, 0.1, 0)]],
-    *[((w, d, 0, 0, c, 0, 0), _BESIDE, 0) for w, d, c in [(1, 1.0, 1), (3, 1.0, 0), (6, 0.9, 1), (20, 0.8, 0), (40, 0.9, 1)]],
-    *[((w, d, 0, 0, 0, 0, 0), _BESIDE, 1) for w, d in [(18, 0.0), (25, 0.3), (60, 0.2), (150, 0.0), (700, 0.1)]],
-    *[((w, d, 0, 0, 0, h, 0), _LONG_BESIDE, 1) for w, d, h in [(1, 0.0, 0), (4, 0.0, 1), (8, 0.3, 0), (12, 0.0, 0)]],
-    *[((w, d, 0, 0, 0, h, 0), _SHORT_BESIDE, 0) for w, d, h in [(1, 0.0, 0), (4, 0.0, 1), (8, 0.3, 0), (12, 0.0, 0)]],
-]
-LABELLED = [(own[0], own[1], *near, *own[2:], label) for own, beside, label in _SEEN for near in beside]
+        for key, value in ATTRIBUTE.findall(attributes):
+            key = key.lower()
+            if key in ("class", "id", "role"):
+                c, b = _said(value.strip("\"'"))
+                content, boiler = content or c, boiler or b
+            elif key == "hidden" or key == "style" and HIDDEN_STYLE.search(value):
+                boiler = True
+    return content, boiler
+
+
+FEATURES = ("words", "density", "words_before", "density_before", "words_after", "density_after", "sentence", "article", "content", "heading", "outside", "share")
+
+
+def rows_of(page: Page) -> list[tuple]:
+    """Features of each block. share: that of the marked element around it in the page's words; without one it is the page's, 1."""
+    total = sum(b.words for b in page.blocks) or 1
+    articled = any(b.article and (b.mark < 0 or 2 * page.marked[b.mark] >= total) for b in page.blocks)
+    none = Block("", 0, 0.0, False, False, False, -1)
+    out = []
+    for before, b, after in zip([none, *page.blocks], page.blocks, [*page.blocks[1:], none]):
+        share = page.marked[b.mark] / total if b.mark >= 0 else 1.0
+        out.append((b.words, b.density, before.words, before.density, after.words, after.density, b.text[-1] in ".!?:\"”…", b.article, b.content, b.heading, articled and not b.article, share))
+    return out
 
 
 class Tree(NamedTuple):
@@ -178,7 +262,7 @@ class Tree(NamedTuple):
     high: "Tree | bool" = False
 
 
-def grow(rows: list[tuple], depth: int = 8) -> Tree | bool:
+def grow(rows: list[tuple], depth: int = 12) -> Tree | bool:
     """Binary decision tree by Gini impurity; ties go to the first feature and the smallest limit."""
     yes = sum(r[-1] for r in rows)
     if depth == 0 or yes in (0, len(rows)):
@@ -203,9 +287,19 @@ def grow(rows: list[tuple], depth: int = 8) -> Tree | bool:
     return Tree(f, limit, grow(low, depth - 1), grow(high, depth - 1))
 
 
+@lru_cache(maxsize=1)
+def labelled() -> list[tuple]:
+    """The labelled table: features of the labelled pages' blocks, and whether they are main text."""
+    out = []
+    for html in PAGES:
+        page = read_page(html)
+        out.extend((*row, int(b.text[0] == "+")) for row, b in zip(rows_of(page), page.blocks))
+    return out
+
+
 @lru_cache(maxsize=1)
 def classifier() -> Tree | bool:
-    return grow(LABELLED)
+    return grow(labelled())
 
 
 def decide(tree: Tree | bool, row: tuple) -> bool:
@@ -217,15 +311,8 @@ def decide(tree: Tree | bool, row: tuple) -> bool:
 def main_text(html: str | None, tree: Tree | bool | None = None) -> str:
     """Text of the blocks that the tree takes for main text, joined by single spaces."""
     tree = classifier() if tree is None else tree
-    blocks = blocks_of(html)
-    articled = any(b.article and not b.boiler for b in blocks)
-    none = Block("", 0, 0.0, False, False, False, False)
-    kept = []
-    for before, b, after in zip([none, *blocks], blocks, [*blocks[1:], none]):
-        row = (b.words, b.density, before.words, before.density, after.words, after.density, b.article, b.boiler, b.content, b.heading, articled and not b.article)
-        if decide(tree, row):
-            kept.append(b.text)
-    return " ".join(kept)
+    page = read_page(html)
+    return " ".join(b.text for b, row in zip(page.blocks, rows_of(page)) if decide(tree, row))
 
 
 def extract_pages(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
