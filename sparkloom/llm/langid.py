@@ -36,9 +36,9 @@ SCRIPT_SHARE = 0.01
 NO_SCRIPT_SCORE = -30.0
 #: Words (and their characters) whose scores are kept a worker, words labelled at once, and numbers of a padded
 #: block: memory bounds without effect on results.
-MAX_WORDS = 400_000
-MAX_CHARS = 1 << 24
-WORDS_AT_ONCE = 1 << 19
+MAX_WORDS = 200_000
+MAX_CHARS = 1 << 23
+WORDS_AT_ONCE = 1 << 18
 CELLS = 1 << 22
 LONG_TEXT = 1 << 22
 WORD = re.compile(r"\S+")

@@ -199,7 +199,8 @@ def connected_components(links: DataFrame, kept: set[str] | None = None) -> Data
     """(node, root) of every node of a link: large-star and small-star rounds until nothing changes.
 
     Rounds shuffle the links of the still open forest only, and are cut by a table in the shared folder; the last one's
-    path is added to ``kept``. A node of many links is joined by parts.
+    path is added to ``kept``. A node of many links meets one row of the other side, so that adaptive execution splits its
+    partition where it is skewed.
     """
     with passing_tables() as last:
         edges = materialize(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "edges", last)
@@ -211,9 +212,9 @@ def connected_components(links: DataFrame, kept: set[str] | None = None) -> Data
         while seen[0]:
             both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
             lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-            large = attach(both, lowest, ["u"], "v").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+            large = both.join(lowest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
             lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-            small = attach(large, lowest, ["u"], "v").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(lowest.select("u", F.col("m").alias("v")))
+            small = large.join(lowest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(lowest.select("u", F.col("m").alias("v")))
             former = set(last)
             last.clear()
             edges = materialize(small.where("u <> v").distinct(), "edges", last)
