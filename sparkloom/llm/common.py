@@ -8,7 +8,7 @@ import re
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
@@ -159,3 +159,16 @@ def row_name(docs: DataFrame) -> Column:
     except AnalysisException:
         return F.monotonically_increasing_id().cast("string")
     return F.concat_ws(":", "_metadata.file_path", F.col("_metadata.row_index").cast("string"))
+
+
+_held: dict[str, Callable[[], object]] = {}
+
+
+def hold(name: str, release: Callable[[], object] = lambda: None) -> None:
+    """Called in a worker by the operator whose task begins: what other operators keep there between tasks is released.
+
+    Workers outlive stages, so that an operator's caches would else take memory from all those after it.
+    """
+    for other in [x for x in _held if x != name]:
+        _held.pop(other)()
+    _held[name] = release

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from sparkloom.llm.common import slices, spread
+from sparkloom.llm.common import hold, slices, spread
 
 #: Documented bound of the fitted sample: rows a language.
 SAMPLE_A_LANGUAGE = 1500
@@ -143,6 +143,10 @@ class LanguageModel:
         self.words.update(zip(missing, rows.tolist()))
         self.chars += sum(map(len, missing))
 
+    def forget(self) -> None:
+        """Give up the words' scores."""
+        self.words, self.scores, self.filled, self.chars = {}, np.zeros((0, 0), np.float32), 0, 0
+
     def _room(self) -> None:
         if not self.filled or len(self.words) > MAX_WORDS or self.chars > MAX_CHARS:
             self.words, self.scores, self.filled, self.chars = {}, np.zeros((4096, len(self.languages)), np.float32), 1, 0
@@ -335,6 +339,7 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
     chosen = known.where(F.col("h") <= _by_language(limits, None)).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("langid")
         seen: dict[str, np.ndarray] = {}
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -370,6 +375,7 @@ def identify_languages(docs: DataFrame, model: LanguageModel, *, id_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shipped.value
+        hold("langid", m.forget)
         for batch in slices(batches):
             names, scores, spans = m.predict(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(
@@ -392,6 +398,7 @@ def known_language(docs: DataFrame, model: LanguageModel, *, text_col: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shipped.value
+        hold("langid", m.forget)
         for batch in slices(batches):
             names, _, _ = m.predict(batch.column(at).to_pylist())
             if filled >= 0:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import spread
+from sparkloom.llm.common import hold, spread
 
 WHITE = "\t-\r \x85\xa0  -     　"
 UNIT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
@@ -308,6 +308,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id"
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("tokencount", transducer.cache_clear)
         t = transducer(tokenizer_path)
         for batch in batches:
             texts = batch.column(1)
