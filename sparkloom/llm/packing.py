@@ -1,10 +1,13 @@
 """Packing by lexical retrieval: BM25 neighbours fill a seed document's window.
 
-Documents are tokenised as they stream through a task and gathered into shards of bounded size. A shard has an
-inverted index of BM25 weights over token ids. Window by window, the first unused document is the seed: all its
-distinct terms query the index, and the best unused neighbours follow it until the window is full. The document at a window's
-end is cut there, and what is left of it seeds the next. Windows run on across a task's shards, so only a task's last
-window can be short.
+Documents are tokenised once, and their ids written down with the counts of documents that hold each term. Weights are of
+the whole corpus: its document frequencies and its mean length. Each document is then sent where its heaviest terms lead,
+those that weigh most in it of all that another document has too, so that copies and documents about the same come to lie
+in one shard, side by side; a term that many documents are heaviest in is parted by adaptive execution. A shard, of
+bounded size, has an inverted index of BM25 weights over token ids. Window by window, the shard's first unused document,
+in the input's order, is the seed: all its distinct terms query the index, and the best unused neighbours follow it until the window is full. The
+document at a window's end is cut there, and what is left of it seeds the next. Windows run on across a task's shards, so
+only a task's last window can be short.
 
 Defined results: a null text is empty and gives its end id alone; repeated rows are packed each; a text of any length
 is cut freely; ties go to the earlier document; an empty table gives no rows. Extra columns are ignored.
@@ -18,6 +21,7 @@ import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from operator import itemgetter
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkloom.llm.common import hold, materialize, passing_tables, slices
+
 WINDOW = 4096
 END_ID = 2
 K1, B = 1.2, 0.75
@@ -62,6 +68,9 @@ class UnitTokenizer:
         spaces = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
         suffix = parts["model"].get("end_of_word_suffix")
         self.plain = Tokenizer.from_str(json.dumps(parts | {"normalizer": None, "pre_tokenizer": spaces, "post_processor": None, "added_tokens": []})) if suffix else None
+        top = max([*parts["model"]["vocab"].values(), *(t["id"] for t in parts["added_tokens"]), END_ID])
+        self.vocabulary = top + 1
+        self.kind = "<u2" if self.vocabulary <= 1 << 16 else "<u4"
         self.ends_word = np.zeros(max(parts["model"]["vocab"].values()) + 1, bool)
         self.ends_word[[i for token, i in parts["model"]["vocab"].items() if suffix and token.endswith(suffix)]] = True
 
@@ -146,25 +155,60 @@ def unit_tokenizer(path: str) -> UnitTokenizer:
     return UnitTokenizer(path)
 
 
+def terms_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ids, ascending, and how often each occurs."""
+    own = np.sort(ids, kind="stable")
+    starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else np.empty(0, np.int64)
+    return own[starts].astype(np.int64), np.diff(np.r_[starts, len(own)])
+
+
+class Corpus(NamedTuple):
+    """What BM25 asks of the whole corpus: documents that hold each term, documents, and their mean length."""
+
+    df: np.ndarray
+    documents: int
+    mean: float
+
+    def weights(self, terms: np.ndarray, counts: np.ndarray, length: np.ndarray | float) -> np.ndarray:
+        """BM25 weights of terms in documents of these lengths."""
+        df = self.df[terms]
+        norm = K1 * (1 - B + B * length / self.mean)
+        return (np.log1p((self.documents - df + 0.5) / (df + 0.5)) * counts * (K1 + 1) / (counts + norm)).astype(np.float32)
+
+    def heaviest(self, ids: np.ndarray) -> tuple[int, int]:
+        """The two terms that weigh most in a document of those that others have too; -1 where there is none."""
+        terms, counts = terms_of(ids)
+        weights = np.where(self.df[terms] > 1, self.weights(terms, counts, float(len(ids))), 0)
+        order = np.argsort(-weights, kind="stable")[:2]
+        found = [int(terms[k]) if weights[k] > 0 else -1 for k in order] + [-1, -1]
+        return found[0], found[1]
+
+
+def corpus_of(docs: list[np.ndarray], vocabulary: int) -> Corpus:
+    """The statistics of documents at hand."""
+    df = np.zeros(vocabulary, np.int64)
+    for ids in docs:
+        df[terms_of(ids)[0]] += 1
+    return Corpus(df, len(docs), max(1.0, sum(map(len, docs)) / max(1, len(docs))))
+
+
 class Bm25Shard:
     """Inverted index of a shard's documents: for each term, the documents that have it and their weights."""
 
-    def __init__(self, docs: list[np.ndarray]) -> None:
-        terms, counts = zip(*(np.unique(d, return_counts=True) for d in docs)) if docs else ((), ())
+    def __init__(self, docs: list[np.ndarray], corpus: Corpus | None = None) -> None:
+        terms, counts = zip(*map(terms_of, docs)) if docs else ((), ())
         self.ends = np.cumsum([len(t) for t in terms])
         self.n = len(docs)
-        term = np.concatenate(terms) if docs else np.empty(0, np.uint32)
-        tf = np.concatenate(counts).astype(np.float32) if docs else np.empty(0, np.float32)
+        self.term = np.concatenate(terms) if docs else np.empty(0, np.int64)
+        tf = np.concatenate(counts) if docs else np.empty(0, np.int64)
         owner = np.repeat(np.arange(self.n), [len(t) for t in terms])
         length = np.array([len(d) for d in docs], np.float32)
-        space = int(term.max()) + 1 if len(term) else 0
-        df = np.bincount(term, minlength=space)
-        idf = np.log1p((self.n - df + 0.5) / (df + 0.5)).astype(np.float32)
-        norm = K1 * (1 - B + B * length / max(1.0, float(length.mean()) if self.n else 1.0))
-        self.term, weight = term, idf[term] * tf * (K1 + 1) / (tf + norm[owner])
-        order = np.argsort(term, kind="stable")
+        space = int(self.term.max()) + 1 if len(self.term) else 0
+        corpus = corpus or corpus_of(docs, space)
+        weight = corpus.weights(self.term, tf, length[owner]) if docs else np.empty(0, np.float32)
+        order = np.argsort(self.term.astype(np.uint16) if space <= 1 << 16 else self.term, kind="stable")
         self.posting_doc, self.posting_weight = owner[order], weight[order]
-        self.starts = np.r_[0, np.cumsum(df)]
+        self.starts = np.r_[0, np.cumsum(np.bincount(self.term, minlength=space))]
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 score of every document of the shard for all distinct terms of the seed."""
@@ -186,14 +230,14 @@ class Packer:
     def put(self, doc: object, ids: np.ndarray, start: int) -> int:
         """Place what fits of ``ids[start:]``; the number of ids placed."""
         take = min(self.room(), len(ids) - start)
-        self.pieces.append((doc, start, take, zlib.crc32(ids[start : start + take].tobytes()), len(ids), self.sequence, self.used))
+        self.pieces.append((doc, start, take, zlib.crc32(ids[start : start + take].astype("<u4").tobytes()), len(ids), self.sequence, self.used))
         self.used += take
         if self.used == self.window:
             self.sequence, self.used = self.sequence + 1, 0
         return take
 
-    def shard(self, docs: list[tuple[object, np.ndarray]]) -> list[tuple]:
-        index = Bm25Shard([ids for _, ids in docs])
+    def shard(self, docs: list[tuple[object, np.ndarray]], corpus: Corpus | None = None) -> list[tuple]:
+        index = Bm25Shard([ids for _, ids in docs], corpus)
         free = np.ones(len(docs), bool)
         seed, start, ahead = -1, 0, 0
         while True:
@@ -234,37 +278,103 @@ class Packer:
 
 
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+#: Beside the terms, whose numbers are their ids: documents and tokens.
+DOCUMENTS, TOKENS = -1, -2
+
+
+def tokenized(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+    """doc_id, ids (two or four bytes each); and of each task a row with the counts of what it saw (terms, counts)."""
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary, terms array<int>, counts array<long>"
+    names = ["doc_id", "ids", "terms", "counts"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("packing", unit_tokenizer.cache_clear)
+        tokenizer = unit_tokenizer(tokenizer_path)
+        df = np.zeros(tokenizer.vocabulary, np.int64)
+        n = tokens = 0
+        id_type = None
+        for batch in slices(batches):
+            id_type = batch.schema.field(0).type
+            found = []
+            for ids in tokenizer.each(t.as_py() for t in batch.column(1)):
+                ids = ids.astype(tokenizer.kind)
+                df[terms_of(ids)[0]] += 1
+                tokens += len(ids)
+                found.append(ids.tobytes())
+            n += len(found)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary()), pa.nulls(len(found), pa.list_(pa.int32())), pa.nulls(len(found), pa.list_(pa.int64()))], names)
+        if n:
+            terms = np.flatnonzero(df)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.nulls(1, id_type),
+                    pa.nulls(1, pa.binary()),
+                    pa.array([np.r_[DOCUMENTS, TOKENS, terms].astype(np.int32)], pa.list_(pa.int32())),
+                    pa.array([np.r_[n, tokens, df[terms]]], pa.list_(pa.int64())),
+                ],
+                names,
+            )
+
+    return docs.mapInArrow(run, schema)
+
+
+def corpus_statistics(ids: DataFrame, vocabulary: int) -> Corpus:
+    """Sums of the tasks' counts: a number a term comes to the driver."""
+    each = ids.where("terms IS NOT NULL").select(F.explode(F.arrays_zip("terms", "counts")).alias("x")).select("x.terms", "x.counts")
+    found = each.groupBy("terms").agg(F.sum("counts").alias("n")).toArrow()
+    terms, n = (found.column(k).to_numpy().astype(np.int64) for k in ("terms", "n"))
+    total = dict(zip(terms.tolist(), n.tolist()))
+    df = np.zeros(vocabulary, np.int64)
+    df[terms[terms >= 0]] = n[terms >= 0]
+    documents = total.get(DOCUMENTS, 0)
+    return Corpus(df, documents, max(1.0, total.get(TOKENS, 0) / max(1, documents)))
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """One row a piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    Shards lie within input splits: texts aren't shuffled, and a lost task is run again from its split alone.
+    Texts aren't shuffled; ids are, once, by their document's heaviest terms.
     """
-    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    tokenizer = unit_tokenizer(tokenizer_path)
+    vocabulary, kind = tokenizer.vocabulary, tokenizer.kind
+    with passing_tables() as kept:
+        source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+        ids = materialize(tokenized(source, tokenizer_path).withColumn("row", F.monotonically_increasing_id()), "ids", kept)
+    corpus = docs.sparkSession.sparkContext.broadcast(corpus_statistics(ids, vocabulary))
+    id_type = ids.schema["doc_id"].dataType.simpleString()
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            terms = [corpus.value.heaviest(np.frombuffer(x.as_buffer(), kind)) for x in batch.column(1)]
+            first, second = zip(*terms) if terms else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(first, pa.int32()), pa.array(second, pa.int32()), *batch.columns], ["first", "second", "doc_id", "ids", "row"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("packing", unit_tokenizer.cache_clear)
         context = TaskContext.get()
         packer = Packer((context.partitionId() if context else 0) << 40, window)
-        tokenizer = unit_tokenizer(tokenizer_path)
-        gathered, tokens, id_type = [], 0, None
+        gathered, tokens, arrow_type = [], 0, None
 
         def emit() -> pa.RecordBatch:
-            columns = list(zip(*packer.shard(gathered))) or [()] * 7
+            gathered.sort(key=itemgetter(0))
+            columns = list(zip(*packer.shard([g[1:] for g in gathered], corpus.value))) or [()] * 7
             return pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], id_type), *(pa.array(c, pa.int64()) for c in columns[1:])],
+                [pa.array(columns[0], arrow_type), *(pa.array(c, pa.int64()) for c in columns[1:])],
                 ["doc_id", *(x.split()[0] for x in PIECES.split(", "))],
             )
 
         for batch in batches:
-            id_type = batch.schema.field(0).type
-            for name, ids in zip(batch.column(0), tokenizer.each(t.as_py() for t in batch.column(1))):
-                gathered.append((name.as_py(), ids))
-                tokens += len(ids)
+            arrow_type = batch.schema.field(0).type
+            for name, raw, row in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist()):
+                own = np.frombuffer(raw.as_buffer(), kind).copy()
+                gathered.append((row, name.as_py(), own))
+                tokens += len(own)
                 if tokens >= shard_tokens:
                     yield emit()
                     gathered, tokens = [], 0
         if gathered:
             yield emit()
 
-    return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, {PIECES}")
+    routed = ids.where("ids IS NOT NULL").select("doc_id", "ids", "row").mapInArrow(route, f"first int, second int, doc_id {id_type}, ids binary, row long")
+    near = routed.hint("rebalance", "first").sortWithinPartitions("first", "second")
+    return near.select("doc_id", "ids", "row").mapInArrow(pack, f"doc_id {id_type}, {PIECES}")
