@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Callable
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,37 +12,10 @@ from sparkloom.functions import identifiers as I
 from sparkloom.functions.header import COMPANION, OFFICIAL, build
 from sparkloom.functions.tokenizer import QuarterTokenizer
 from sparkloom.operators import cache, chunks, evaluate, gates, index, rows, tree, validate
+from sparkloom.plans.registry import REGISTRY, Query, Tables, query
 from sparkloom.sources import sinks
 from sparkloom.streaming import ingest
 
-Query = Callable[[SparkSession, str], DataFrame]
-
-
-@dataclass
-class Registered:
-    run: Query
-    sql: str | None
-
-
-REGISTRY: dict[str, Registered] = {}
-
-
-class Tables:
-    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self.spark, self.sf_dir = spark, sf_dir
-
-    def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-
-
-def query(sql: str | None = None) -> Callable[[Callable[[Tables], DataFrame]], Callable[[Tables], DataFrame]]:
-    def keep(f: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
-        REGISTRY[f.__name__] = Registered(lambda spark, sf_dir: f(Tables(spark, sf_dir)), sql)
-        return f
-
-    return keep
-
-
 # *** scalars
 
 PAGE_KEY = "coalesce(nullif(regexp_replace(split_part(split_part(trim(url), '#', 1), '?', 1), '/+$', ''), ''), 'file:page_' || page_id)"
@@ -646,10 +617,13 @@ def stream_first_arrivals(t: Tables) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    from sparkloom.plans import parsing, release  # noqa: F401 - they register theirs
+
     return {name: r.run for name, r in REGISTRY.items()}
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return {name: r.sql for name, r in REGISTRY.items() if r.sql}
 
 

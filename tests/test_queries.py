@@ -31,7 +31,7 @@ def rows(columns, found):
     return sorted(repr([plain(r[i]) for i in order]) for r in found)
 
 
-@pytest.mark.parametrize("name", list(queries.REGISTRY))
+@pytest.mark.parametrize("name", list(queries.queries()))
 def test_query(spark, duck, name):
     registered = queries.REGISTRY[name]
     df = registered.run(spark, DATA)
