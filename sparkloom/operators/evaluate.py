@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkloom.functions import columns as C
-from sparkloom.operators.rows import spread
+from sparkloom.operators.rows import running_bytes, spread
+from sparkloom.session import written
 
 TOLERANCE = 1e-4
 
@@ -32,24 +33,67 @@ def run_suite(hits: DataFrame, groups: DataFrame, limit: float = 0.45) -> DataFr
     )
 
 
-def fixture_errors(chunks: DataFrame, groups: DataFrame) -> DataFrame:
+def _shingles(text: Column, edge: int) -> Column:
+    """Hashes of three words in a row, ``edge`` words at either end aside: a marker's outer words may be parts of longer ones."""
+    words = F.split(text, r"\s+")
+    n = F.greatest(F.lit(0), F.size(words) - 2 - 2 * edge)
+    triples = F.arrays_zip(*[F.slice(words, 1 + edge + k, n).alias(f"w{k}") for k in range(3)])
+    return F.transform(triples, lambda x: F.xxhash64(x["w0"], x["w1"], x["w2"]))
+
+
+def containing(texts: DataFrame, markers: DataFrame, *, text_id: str = "id", text: str = "text", marker_id: str = "marker_id", marker: str = "marker") -> DataFrame:
+    """(text_id, marker_id) of every text that contains a marker, as it stands.
+
+    A text that contains a marker has all of its inner words in a row, so rows meet by one shingle of each marker, and
+    those that met are verified. Markers of fewer than five words have no such shingle: they are few and short, a
+    fixture's, and are looked for in every text.
+    """
+    own = markers.select(F.col(marker_id).alias("_m"), F.col(marker).alias("_marker")).distinct()
+    keyed = own.withColumn("_key", F.get(_shingles(F.col("_marker"), 1), 0))
+    named = texts.select(F.col(text_id).alias("_t"), F.col(text).alias("_text"))
+    long = keyed.where("_key IS NOT NULL")
+    met = spread(named).select("_t", F.explode(F.array_distinct(_shingles(F.col("_text"), 0))).alias("_key")).join(long, "_key").select("_t", "_m", "_marker").distinct()
+    found = named.join(met, "_t").where(F.col("_text").contains(F.col("_marker"))).select("_t", "_m")
+    short = keyed.where("_key IS NULL").select("_m", "_marker")
+    if not short.isEmpty():
+        found = found.unionByName(spread(named).join(short, F.col("_text").contains(F.col("_marker"))).select("_t", "_m"))
+    return found.distinct().select(F.col("_t").alias(text_id), F.col("_m").alias(marker_id))
+
+
+#: Characters of a page that are looked through at once.
+STRETCH = 1 << 16
+
+
+def fixture_errors(chunks: DataFrame, groups: DataFrame, stretch: int = STRETCH) -> DataFrame:
     """(query_id, identity, error) of each distinct group whose marker stands whole in no chunk: missing, or split.
 
-    Containment is a theta join: the groups' side is broadcast, being the fixture file, and chunks are scanned once
-    for counts alone. Page texts are put together once for each page name of the groups that failed.
+    Page names are compared with the groups' once a page; from there on rows meet by page. The pages of groups that
+    failed are looked through in stretches that overlap by the longest marker, each put together on its own.
     """
     wanted = _groups(groups).groupBy("identity").agg(F.first("page_match").alias("page_match"), F.first("markers").alias("markers"), F.min("query_id").alias("query_id"))
     wanted = wanted.withColumn("_wanted", C.page_norm(F.col("page_match")))
-    own = chunks.select("page_key", "chunk_index", "content", C.page_norm(F.col("page_key")).alias("_page"))
-    on_page = F.col("_page").contains(F.col("_wanted"))
-    whole = F.bool_or(F.exists("markers", lambda m: F.col("content").contains(m)))
-    seen = spread(own).join(F.broadcast(wanted), on_page).groupBy("identity").agg(F.count("content").alias("n"), whole.alias("whole"))
-    told = wanted.join(seen, "identity", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    failed = told.where((F.col("n") == 0) | ((F.size("markers") > 0) & ~F.coalesce("whole", F.lit(False))))
-    pieces = F.sort_array(F.collect_list(F.struct("page_key", "chunk_index", C.squeeze(F.col("content")).alias("t"))))
-    pages = own.join(F.broadcast(failed.select("page_match", "_wanted").distinct()), on_page).groupBy("page_match").agg(F.array_join(F.transform(pieces, lambda p: p["t"]), " ").alias("page"))
-    split = F.exists("markers", lambda m: F.col("page").contains(C.squeeze(m)))
-    return failed.join(pages, "page_match", "left").select("query_id", "identity", F.when(split, "split").otherwise("missing").alias("error"))
+    names = wanted.select("_wanted").distinct()
+    counted = chunks.groupBy("page_key").agg(F.count("content").alias("n")).withColumn("_page", C.page_norm(F.col("page_key")))
+    pages = written(counted.join(names, F.col("_page").contains(F.col("_wanted"))).select("_wanted", "page_key", "n"), "pages")
+    own = chunks.select(F.struct("page_key", "chunk_index").alias("id"), F.col("content").alias("text"))
+    markers = wanted.select(F.col("identity").alias("marker_id"), F.explode("markers").alias("marker"))
+    held = containing(own, markers).select(F.col("id.page_key").alias("page_key"), F.col("marker_id").alias("identity"))
+    whole = held.join(wanted.select("identity", "_wanted"), "identity").join(pages.select("_wanted", "page_key"), ["_wanted", "page_key"]).select("identity").distinct().withColumn("whole", F.lit(True))
+    there = pages.groupBy("_wanted").agg(F.sum("n").alias("n"))
+    told = wanted.join(there, "_wanted", "left").join(whole, "identity", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    failed = written(told.where((F.col("n") == 0) | ((F.size("markers") > 0) & F.col("whole").isNull())).select("identity", "page_match", "markers", "query_id", "_wanted"), "failed")
+
+    longest = failed.select("_wanted", F.explode("markers").alias("m")).groupBy("_wanted").agg(F.max(F.length(C.squeeze(F.col("m")))).alias("reach"))
+    lines = chunks.join(pages.join(longest, "_wanted").select("_wanted", "page_key", "reach"), "page_key").select("_wanted", "reach", "page_key", "chunk_index", F.concat(C.squeeze(F.col("content")), F.lit(" ")).alias("t"))
+    placed = running_bytes(lines.withColumn("_size", F.length("t")), "_wanted", "_size", "page_key", "chunk_index", name="at")
+    first = F.greatest(F.lit(0), F.floor((F.col("at") - F.col("reach")) / stretch)).cast("long")
+    each = placed.select("_wanted", "at", "t", "reach", F.explode(F.sequence(first, F.floor((F.col("at") + F.col("_size") - 1) / stretch).cast("long"))).alias("part"))
+    begin = F.greatest(F.lit(0), F.col("part") * stretch - F.col("at")).cast("int")
+    length = (F.least(F.col("at") + F.length("t"), (F.col("part") + 1) * stretch + F.col("reach")) - F.col("at")).cast("int") - begin
+    clipped = each.select("_wanted", "part", "at", F.col("t").substr(begin + 1, length).alias("t")).where("t <> ''")
+    joined = clipped.groupBy("_wanted", "part").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "t"))), lambda p: p["t"]), "").alias("text"))
+    parted = failed.join(joined, "_wanted").where(F.exists("markers", lambda m: F.col("text").contains(C.squeeze(m)))).select("identity").distinct().withColumn("split", F.lit(True))
+    return failed.join(parted, "identity", "left").select("query_id", "identity", F.when(F.col("split"), "split").otherwise("missing").alias("error"))
 
 
 def match_holdout(targets: DataFrame, chunks: DataFrame) -> DataFrame:

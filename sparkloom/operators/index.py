@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from sparkloom.functions import columns as C
 from sparkloom.operators.chunks import COMPANION, OFFICIAL
@@ -17,8 +18,8 @@ from sparkloom.operators.rows import digest_in_order
 SCALARS = "title section_heading breadcrumb source_url page_key chunk_index category token_estimate source_type verification_status upstream_repo upstream_commit source_path raw_url latest_url".split()
 SPAN_SCALARS = "source_record_id source_start_byte source_end_byte source_token_count content_token_count embedding_token_count s6_header".split()
 CANDIDATES = frozenset("c0 b5 b56 b567".split())
-#: Queries that are searched for at once. More of them go in blocks, each a pass over the vectors.
-QUERY_BLOCK = 4096
+#: Queries and vectors of a task at once.
+QUERY_BLOCK, VECTOR_BLOCK = 4096, 16_384
 
 
 def metadata(chunks: DataFrame) -> DataFrame:
@@ -85,66 +86,60 @@ def embed(plan: DataFrame, embedder: Callable[[list[str]], np.ndarray], batch: i
     return plan.mapInArrow(run, f"{fields}, embedding array<float>")
 
 
-def nearest(queries: DataFrame, vectors: DataFrame, k: int, *, query_id: str = "query_id", vector_id: str = "vec_id", embedding: str = "embedding", others_only: bool = False, same: str | None = None, block: int = QUERY_BLOCK) -> DataFrame:
+def nearest(
+    queries: DataFrame, vectors: DataFrame, k: int, *, query_id: str = "query_id", vector_id: str = "vec_id", embedding: str = "embedding", others_only: bool = False, same: str | None = None,
+    block: int = QUERY_BLOCK, vector_block: int = VECTOR_BLOCK,
+) -> DataFrame:
     """The ``k`` nearest vectors of each query by cosine distance, exactly: query_id, vector_id, distance, rank.
 
-    Queries come in blocks of at most ``block``, a few MB that every task gets; each task keeps its k best a query as
-    it streams vectors past, so a block costs one pass and k rows a query and task. Distances are computed in double
-    precision; ties go to the smaller id. With ``same``, a query is searched for among vectors of equal value there.
+    Queries and vectors are dealt into blocks, and each pair of blocks is a task's work, of bounded size whatever the
+    tables' sizes are: k rows a query and vector block come out of it, which then are ranked by query. Distances are
+    computed in double precision; ties go to the smaller id. With ``same``, a query is searched for among vectors of
+    equal value there. A zero vector is at distance 1 of all; a null one is found by no query, and as a query finds none.
     """
-    spark = vectors.sparkSession
-    found: DataFrame | None = None
     value = (F.col(same) if same else F.lit("")).cast("string")
-    held = queries.select(F.col(query_id).alias("q"), F.col(embedding).cast("array<double>").alias("e"), value.alias("s"))
-    iterator = held.toLocalIterator()
-    more = True
-    while more:
-        rows = [r for _, r in zip(range(block), iterator)]
-        more = len(rows) == block
-        if not rows:
-            break
-        part = _block(spark, rows, vectors.withColumn("_same", value), k, vector_id, embedding, others_only)
-        found = part if found is None else found.unionByName(part)
-    id_type = vectors.schema[vector_id].dataType.simpleString()
-    if found is None:
-        return spark.createDataFrame([], f"query_id {queries.schema[query_id].dataType.simpleString()}, {vector_id} {id_type}, distance double, rank int")
+    asked = queries.select(F.col(query_id).alias("id"), F.col(embedding).cast("array<double>").alias("e"), value.alias("s")).where("e IS NOT NULL")
+    held = vectors.select(F.col(vector_id).alias("id"), F.col(embedding).cast("array<double>").alias("e"), value.alias("s")).where("e IS NOT NULL")
+    rows, columns = (max(1, -(-df.count() // n)) for df, n in ((asked, block), (held, vector_block)))
+    deal = lambda n: F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)).cast("int")
+    left = asked.withColumn("row", deal(rows)).withColumn("column", F.explode(F.sequence(F.lit(0), F.lit(columns - 1))))
+    right = held.withColumn("column", deal(columns)).withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(rows - 1))))
+    q_type, v_type = (df.schema["id"].dataType for df in (asked, held))
+    out = pa.schema([("query_id", to_arrow_type(q_type)), (vector_id, to_arrow_type(v_type)), ("distance", pa.float64())])
+
+    def search(own: pa.Table, other: pa.Table) -> pa.Table:
+        return _block(own, other, k, others_only, out)
+
+    found = left.groupBy("row", "column").cogroup(right.groupBy("row", "column")).applyInArrow(search, f"query_id {q_type.simpleString()}, `{vector_id}` {v_type.simpleString()}, distance double")
     best = Window.partitionBy("query_id").orderBy("distance", vector_id)
     return found.withColumn("rank", F.row_number().over(best).cast("int")).where(F.col("rank") <= k)
 
 
-def _block(spark: Any, rows: list, vectors: DataFrame, k: int, vector_id: str, embedding: str, others_only: bool) -> DataFrame:
-    names = [r["q"] for r in rows]
-    matrix = np.array([r["e"] for r in rows], np.float64)
-    length = np.linalg.norm(matrix, axis=1, keepdims=True)
-    shipped = spark.sparkContext.broadcast((names, matrix, length, np.array([r["s"] for r in rows], object)))
-    source = vectors.select(F.col(vector_id), F.col(embedding).cast("array<double>").alias("e"), "_same")
-    id_type, q_type = vectors.schema[vector_id].dataType.simpleString(), "long" if names and isinstance(names[0], int) else "string"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, matrix, length, wanted = shipped.value
-        best_d, best_i = np.full((len(names), 0), np.inf), np.empty((len(names), 0), object)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                ids = np.array(part.column(0).to_pylist(), object)
-                own = np.stack(part.column(1).to_numpy(zero_copy_only=False)).astype(np.float64)
-                d = 1 - matrix @ own.T / (length * np.linalg.norm(own, axis=1))
-                d[wanted[:, None] != np.array(part.column(2).to_pylist(), object)[None, :]] = np.inf
-                if others_only:
-                    d[np.array(names, object)[:, None] == ids[None, :]] = np.inf
-                all_d = np.concatenate([best_d, d], axis=1)
-                all_i = np.concatenate([best_i, np.broadcast_to(ids, d.shape)], axis=1)
-                if all_d.shape[1] > 2 * k:  # keep all that tie with the k-th
-                    limit = np.partition(all_d, k - 1, axis=1)[:, k - 1 : k]
-                    width = int((all_d <= limit).sum(axis=1).max())
-                    order = np.argsort(all_d, axis=1, kind="stable")[:, :width]
-                    all_d, all_i = np.take_along_axis(all_d, order, 1), np.take_along_axis(all_i, order, 1)
-                best_d, best_i = all_d, all_i
-        q, j = np.nonzero(np.isfinite(best_d))
-        schema = pa.schema([("query_id", pa.int64() if q_type == "long" else pa.string()), (vector_id, pa.int64() if id_type == "bigint" else pa.string()), ("distance", pa.float64())])
-        yield pa.RecordBatch.from_arrays([pa.array([names[x] for x in q], schema.field(0).type), pa.array(list(best_i[q, j]), schema.field(1).type), pa.array(best_d[q, j])], schema=schema)
-
-    return source.mapInArrow(run, f"query_id {q_type}, {vector_id} {'long' if id_type == 'bigint' else 'string'}, distance double")
+def _matrix(table: pa.Table) -> np.ndarray:
+    column = table.column("e").combine_chunks()
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(table.num_rows, -1)
+
+
+def _block(queries: pa.Table, vectors: pa.Table, k: int, others_only: bool, out: pa.Schema) -> pa.Table:
+    """The k nearest of a block's vectors for each of a block's queries, and all that tie with the last of them."""
+    if not queries.num_rows or not vectors.num_rows:
+        return out.empty_table()
+    a, b = _matrix(queries), _matrix(vectors)
+    names, ids = (np.array(t.column("id").to_pylist(), object) for t in (queries, vectors))
+    q_same, v_same = (np.array(t.column("s").to_pylist(), object) for t in (queries, vectors))
+    size_a, size_b = np.linalg.norm(a, axis=1), np.linalg.norm(b, axis=1)
+    at, found_q, found_v, found_d = max(1, (1 << 22) // len(b)), [], [], []
+    for i in range(0, len(a), at):
+        length = size_a[i : i + at, None] * size_b
+        d = 1 - np.divide(a[i : i + at] @ b.T, length, out=np.zeros_like(length), where=length > 0)
+        d[q_same[i : i + at, None] != v_same[None, :]] = np.inf
+        if others_only:
+            d[names[i : i + at, None] == ids[None, :]] = np.inf
+        limit = np.partition(d, k - 1, axis=1)[:, k - 1 : k] if d.shape[1] > k else np.full((len(d), 1), np.inf)
+        q, v = np.nonzero((d <= limit) & np.isfinite(d))
+        found_q.append(names[i + q]), found_v.append(ids[v]), found_d.append(d[q, v])
+    columns = [pa.array(list(np.concatenate(x)), field.type) for x, field in zip((found_q, found_v), out)]
+    return pa.Table.from_arrays([*columns, pa.array(np.concatenate(found_d))], schema=out)
 
 
 def smoke_failures(hits: DataFrame, queries: DataFrame, limit: float = 0.45) -> DataFrame:

@@ -60,16 +60,33 @@ def numbered(df: DataFrame, key: str, *order: str, name: str = "chunk_index") ->
 
 
 def running_bytes(df: DataFrame, key: str, size: str, *order: str, name: str = "base_offset") -> DataFrame:
-    """Sum of ``size`` over the rows of ``key`` that come before each row."""
-    before = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn(name, F.coalesce(F.sum(size).over(before), F.lit(0)).cast("long"))
+    """Sum of ``size`` over the rows of ``key`` that come before each row; summed by (key, first order column) first, as ``numbered`` counts."""
+    first = order[0]
+    before = Window.partitionBy("_key").orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)
+    lanes = df.groupBy(F.col(key).alias("_key"), F.col(first).alias("_first")).agg(F.sum(size).alias("_bytes"))
+    lanes = lanes.select("_key", "_first", F.coalesce(F.sum("_bytes").over(before), F.lit(0)).alias("_ahead"))
+    placed = df.join(lanes, df[key].eqNullSafe(F.col("_key")) & df[first].eqNullSafe(F.col("_first")))
+    within = Window.partitionBy(key, first).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return placed.withColumn(name, (F.col("_ahead") + F.coalesce(F.sum(size).over(within), F.lit(0))).cast("long")).drop("_key", "_first", "_ahead")
 
 
 def carry_forward(df: DataFrame, column: str, partition: list[str], order: list[str], name: str | None = None) -> DataFrame:
-    """Last value seen, so far, that is neither null nor empty."""
-    seen = Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    value = F.last(F.when(F.col(column) != "", F.col(column)), ignorenulls=True).over(seen)
-    return df.withColumn(name or column, value)
+    """Last value seen, so far, that is neither null nor empty.
+
+    The last value of each (partition, first order column) is carried over those first, so that a partition with a
+    great share of all rows is spread over as many tasks as that column has values.
+    """
+    keys = [*partition, order[0]]
+    value = F.when(F.col(column) != "", F.col(column))
+    last = lambda of: F.last(of, ignorenulls=True)
+    place = F.struct(*order)
+    lanes = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.max_by(value, F.when(value.isNotNull(), place)).alias("_held"))
+    names = [f"_k{i}" for i in range(len(keys))]
+    before = Window.partitionBy(*names[:-1]).orderBy(names[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    lanes = lanes.select(*names, last(F.col("_held")).over(before).alias("_before"))
+    met = df.join(lanes, [df[k].eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
+    seen = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return met.withColumn(name or column, F.coalesce(last(value).over(seen), F.col("_before"))).drop(*names, "_before")
 
 
 def digest_in_order(df: DataFrame, text: str, *order: str, between: str = "", before: str = "", after: str = "", chunk: int = 1 << 20) -> str:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -208,8 +206,8 @@ def interval_overlap(t: Tables) -> DataFrame:
 
 @query("SELECT b.item_id, d.doc_id FROM benchmark b JOIN documents d ON contains(d.text, b.text)")
 def marker_join(t: Tables) -> DataFrame:
-    # the fixture side is a benchmark's items; sizes decide whether it is broadcast
-    return rows.spread(t.documents.alias("d")).join(t.benchmark.alias("b"), F.col("d.text").contains(F.col("b.text"))).select("item_id", "doc_id")
+    """Benchmark passages that stand in documents as they are."""
+    return evaluate.containing(t.documents, t.benchmark, text_id="doc_id", text="text", marker_id="item_id", marker="text")
 
 
 @query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -605,15 +603,14 @@ def stream_windows(t: Tables) -> DataFrame:
     """The same counts from the table read as a stream of files."""
     schema = t.events.schema
     stream = t.spark.readStream.schema(schema).format("parquet").option("pathGlobFilter", "events.parquet").load(t.sf_dir)
-    ingest.run_once(_windowed(stream), "stream_windows", tempfile.mkdtemp(prefix="stream-"))
-    return t.spark.table("stream_windows")
+    return ingest.run_to_table(_windowed(stream), t.scratch("windows"), t.scratch("checkpoint"))
 
 
 @query("SELECT count(*) AS n, count(DISTINCT event_id) AS ids FROM events")
 def stream_first_arrivals(t: Tables) -> DataFrame:
     stream = t.spark.readStream.schema(t.events.schema).format("parquet").option("pathGlobFilter", "events.parquet").load(t.sf_dir)
-    ingest.run_once(ingest.first_arrivals(stream, ["event_id"], "ts"), "first_arrivals", tempfile.mkdtemp(prefix="stream-"), "append")
-    return t.spark.table("first_arrivals").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("ids"))
+    found = ingest.run_to_table(ingest.first_arrivals(stream, ["event_id"], "ts"), t.scratch("arrivals"), t.scratch("checkpoint"), "append")
+    return found.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("ids"))
 
 
 def queries() -> dict[str, Query]:

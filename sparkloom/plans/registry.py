@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sparkloom.session import scratch
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -23,6 +25,10 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
 
+    def scratch(self, name: str) -> str:
+        """A new folder that every executor can read and write."""
+        return scratch(self.spark, name)
+
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 

@@ -31,3 +31,18 @@ def run_once(df: DataFrame, name: str, checkpoint: str, mode: str = "complete")
     query = df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
+
+
+def run_to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "complete") -> DataFrame:
+    """Everything that is there now, into a Parquet table that the executors write; ``complete`` replaces it each batch.
+
+    A batch that is written again after a failure replaces its own folder, so that no row counts twice.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(path if mode == "complete" else f"{path}/batch={number}")
+
+    query = df.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    return found.select(*df.columns)
