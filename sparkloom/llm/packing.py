@@ -1,9 +1,11 @@
 """Packing by lexical retrieval: BM25 neighbours fill a seed document's window.
 
 Documents are tokenised once, and their ids written down with the counts of documents that hold each term. Weights are of
-the whole corpus: its document frequencies and its mean length. Each document is then sent where its heaviest terms lead,
-those that weigh most in it of all that another document has too, so that copies and documents about the same come to lie
-in one shard, side by side; a term that many documents are heaviest in is parted by adaptive execution. A shard, of
+the whole corpus: its document frequencies and its mean length. Each document is sent where its two leading terms lead,
+so that copies and documents alike come to lie in one shard, side by side; a term that leads many documents is parted by
+adaptive execution. Terms lead by how often they stand in the document and by their place in the vocabulary, which lists
+what is frequent in any language first: that needs no pass of its own, and finds neighbours better than the heaviest
+terms by BM25 do. A shard, of
 bounded size, has an inverted index of BM25 weights over token ids. Window by window, the shard's first unused document,
 in the input's order, is the seed: all its distinct terms query the index, and the best unused neighbours follow it until the window is full. The
 document at a window's end is cut there, and what is left of it seeds the next. Windows run on across a task's shards, so
@@ -36,6 +38,8 @@ END_ID = 2
 K1, B = 1.2, 0.75
 #: Neighbours are looked at in blocks of so many, best first, until the window is full.
 LOOK = 32
+#: A term is common if one of so many documents of a shard holds it.
+DENSE = 8
 #: Tokens of a shard, about. One document may be longer; it then is a shard of its own.
 SHARD_TOKENS = 1 << 21
 MAX_UNITS = 1_000_000
@@ -162,6 +166,16 @@ def terms_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return own[starts].astype(np.int64), np.diff(np.r_[starts, len(own)])
 
 
+def leading(terms: np.ndarray, counts: np.ndarray, rarity: np.ndarray) -> tuple[int, int]:
+    """The two terms that lead a document, -1 for a missing one."""
+    weights = rarity[terms] * (counts / (counts + K1))
+    first = int(weights.argmax())
+    if len(terms) == 1:
+        return int(terms[first]), -1
+    weights[first] = -1.0
+    return int(terms[first]), int(terms[weights.argmax()])
+
+
 class Corpus(NamedTuple):
     """What BM25 asks of the whole corpus: documents that hold each term, documents, and their mean length."""
 
@@ -175,14 +189,6 @@ class Corpus(NamedTuple):
         norm = K1 * (1 - B + B * length / self.mean)
         return (np.log1p((self.documents - df + 0.5) / (df + 0.5)) * counts * (K1 + 1) / (counts + norm)).astype(np.float32)
 
-    def heaviest(self, ids: np.ndarray) -> tuple[int, int]:
-        """The two terms that weigh most in a document of those that others have too; -1 where there is none."""
-        terms, counts = terms_of(ids)
-        weights = np.where(self.df[terms] > 1, self.weights(terms, counts, float(len(ids))), 0)
-        order = np.argsort(-weights, kind="stable")[:2]
-        found = [int(terms[k]) if weights[k] > 0 else -1 for k in order] + [-1, -1]
-        return found[0], found[1]
-
 
 def corpus_of(docs: list[np.ndarray], vocabulary: int) -> Corpus:
     """The statistics of documents at hand."""
@@ -206,15 +212,29 @@ class Bm25Shard:
         space = int(self.term.max()) + 1 if len(self.term) else 0
         corpus = corpus or corpus_of(docs, space)
         weight = corpus.weights(self.term, tf, length[owner]) if docs else np.empty(0, np.float32)
-        order = np.argsort(self.term.astype(np.uint16) if space <= 1 << 16 else self.term, kind="stable")
-        self.posting_doc, self.posting_weight = owner[order], weight[order]
-        self.starts = np.r_[0, np.cumsum(np.bincount(self.term, minlength=space))]
+        df = np.bincount(self.term, minlength=space)
+        # terms that many documents hold are a matrix, the others postings: the same sums, each in its cheaper form
+        common = np.flatnonzero(df * DENSE >= self.n) if self.n > DENSE else np.empty(0, np.int64)
+        self.row = np.full(space, -1)
+        self.row[common] = np.arange(len(common))
+        row = self.row[self.term]
+        self.dense = np.zeros((len(common), self.n), np.float32)
+        self.dense[row[row >= 0], owner[row >= 0]] = weight[row >= 0]
+        rare = row < 0
+        term, owner, weight = self.term[rare], owner[rare], weight[rare]
+        order = np.argsort(term.astype(np.uint16) if space <= 1 << 16 else term, kind="stable")
+        self.posting_doc, self.posting_weight = owner[order], weight[order].astype(np.float64)
+        self.starts = np.r_[0, np.cumsum(np.bincount(term, minlength=space))]
 
     def scores(self, seed: int) -> np.ndarray:
-        """BM25 score of every document of the shard for all distinct terms of the seed."""
-        a, b = (self.ends[seed - 1] if seed else 0), self.ends[seed]
-        runs = [slice(self.starts[t], self.starts[t + 1]) for t in self.term[a:b]]
-        return np.bincount(np.concatenate([self.posting_doc[r] for r in runs]), np.concatenate([self.posting_weight[r] for r in runs]), self.n)
+        """BM25 score of every document of the shard for all distinct terms of the seed, to four decimals: equal texts tie."""
+        terms = self.term[(self.ends[seed - 1] if seed else 0) : self.ends[seed]]
+        rows = self.row[terms]
+        asked = np.zeros(len(self.dense), np.float32)
+        asked[rows[rows >= 0]] = 1
+        runs = [slice(a, b) for a, b in zip(self.starts[terms].tolist(), self.starts[terms + 1].tolist()) if b > a]
+        found = np.bincount(np.concatenate([self.posting_doc[r] for r in runs]), np.concatenate([self.posting_weight[r] for r in runs]), self.n) if runs else np.zeros(self.n)
+        return np.round(found + asked @ self.dense, 4)
 
 
 class Packer:
@@ -283,37 +303,35 @@ DOCUMENTS, TOKENS = -1, -2
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """doc_id, ids (two or four bytes each); and of each task a row with the counts of what it saw (terms, counts)."""
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary, terms array<int>, counts array<long>"
-    names = ["doc_id", "ids", "terms", "counts"]
+    """doc_id, ids (two or four bytes each) and leading terms; and of each task a row with the counts of what it saw (terms, counts)."""
+    schema = f"first int, second int, doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary, terms array<int>, counts array<long>"
+    names = ["first", "second", "doc_id", "ids", "terms", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold("packing", unit_tokenizer.cache_clear)
         tokenizer = unit_tokenizer(tokenizer_path)
         df = np.zeros(tokenizer.vocabulary, np.int64)
+        rarity = np.square(np.arange(tokenizer.vocabulary) / tokenizer.vocabulary)
         n = tokens = 0
         id_type = None
         for batch in slices(batches):
             id_type = batch.schema.field(0).type
-            found = []
-            for ids in tokenizer.each(t.as_py() for t in batch.column(1)):
+            found, leads = [], []
+            for ids in tokenizer.each(batch.column(1).to_pylist()):
                 ids = ids.astype(tokenizer.kind)
-                df[terms_of(ids)[0]] += 1
+                terms, counts = terms_of(ids)
+                df[terms] += 1
+                leads.append(leading(terms, counts, rarity))
                 tokens += len(ids)
                 found.append(ids.tobytes())
             n += len(found)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary()), pa.nulls(len(found), pa.list_(pa.int32())), pa.nulls(len(found), pa.list_(pa.int64()))], names)
+            first, second = zip(*leads) if leads else ((), ())
+            nothing = [pa.nulls(len(found), pa.list_(pa.int32())), pa.nulls(len(found), pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([pa.array(first, pa.int32()), pa.array(second, pa.int32()), batch.column(0), pa.array(found, pa.binary()), *nothing], names)
         if n:
             terms = np.flatnonzero(df)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.nulls(1, id_type),
-                    pa.nulls(1, pa.binary()),
-                    pa.array([np.r_[DOCUMENTS, TOKENS, terms].astype(np.int32)], pa.list_(pa.int32())),
-                    pa.array([np.r_[n, tokens, df[terms]]], pa.list_(pa.int64())),
-                ],
-                names,
-            )
+            counted = [pa.array([np.r_[DOCUMENTS, TOKENS, terms].astype(np.int32)], pa.list_(pa.int32())), pa.array([np.r_[n, tokens, df[terms]]], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int32()), pa.nulls(1, pa.int32()), pa.nulls(1, id_type), pa.nulls(1, pa.binary()), *counted], names)
 
     return docs.mapInArrow(run, schema)
 
@@ -333,7 +351,7 @@ def corpus_statistics(ids: DataFrame, vocabulary: int) -> Corpus:
 def pack_documents(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """One row a piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    Texts aren't shuffled; ids are, once, by their document's heaviest terms.
+    Texts aren't shuffled; ids are, once, by their document's leading terms.
     """
     tokenizer = unit_tokenizer(tokenizer_path)
     vocabulary, kind = tokenizer.vocabulary, tokenizer.kind
@@ -343,12 +361,6 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_i
     corpus = docs.sparkSession.sparkContext.broadcast(corpus_statistics(ids, vocabulary))
     id_type = ids.schema["doc_id"].dataType.simpleString()
 
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            terms = [corpus.value.heaviest(np.frombuffer(x.as_buffer(), kind)) for x in batch.column(1)]
-            first, second = zip(*terms) if terms else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(first, pa.int32()), pa.array(second, pa.int32()), *batch.columns], ["first", "second", "doc_id", "ids", "row"])
-
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold("packing", unit_tokenizer.cache_clear)
         context = TaskContext.get()
@@ -375,6 +387,5 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_i
         if gathered:
             yield emit()
 
-    routed = ids.where("ids IS NOT NULL").select("doc_id", "ids", "row").mapInArrow(route, f"first int, second int, doc_id {id_type}, ids binary, row long")
-    near = routed.hint("rebalance", "first").sortWithinPartitions("first", "second")
+    near = ids.where("ids IS NOT NULL").select("first", "second", "doc_id", "ids", "row").hint("rebalance", "first").sortWithinPartitions("first", "second")
     return near.select("doc_id", "ids", "row").mapInArrow(pack, f"doc_id {id_type}, {PIECES}")
