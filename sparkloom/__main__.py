@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import argparse
 import json
+import shlex
+import subprocess
 import sys
 import time
 import urllib.error
@@ -14,10 +16,13 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from sparkloom import schemas
 from sparkloom.functions.tokenizer import LibraryTokenizer, QuarterTokenizer
-from sparkloom.operators import index, tree, validate
+from sparkloom.operators import cache, gates, index, tree, validate
+from sparkloom.operators import evaluate as evaluation
+from sparkloom.operators.validate import require_none
 from sparkloom.plans import build
-from sparkloom.session import session
+from sparkloom.session import session, written
 from sparkloom.sources import readers, sinks
 
 
@@ -106,11 +111,36 @@ def chunk(spark: SparkSession, a: argparse.Namespace) -> None:
     readers.chunks(spark, a.out).groupBy("category").agg(F.count(F.lit(1)).alias("chunks"), F.min("token_estimate").alias("least"), F.max("token_estimate").alias("most")).orderBy(F.desc("chunks")).show()
 
 
+def _recipe(path: str) -> dict:
+    """A description's recipe from a JSON file with the arguments of cache.contract."""
+    return cache.contract(**json.loads(Path(path).read_text("utf-8")))
+
+
+def describe(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Descriptions for eligible chunks that the cache lacks, from a command that reads {system, prompt, model} and prints {model, text}."""
+    recipe = _recipe(a.recipe)
+    words = shlex.split(a.command)
+
+    def call(system: str, prompt: str, model: str) -> tuple[str, str]:
+        said = subprocess.run(words, input=json.dumps({"system": system, "prompt": prompt, "model": model}), capture_output=True, text=True, check=True, timeout=600)
+        answer = json.loads(said.stdout)
+        return answer["model"], answer["text"]
+
+    counter = LibraryTokenizer(a.tokenizer) if a.tokenizer else QuarterTokenizer()
+    wanted = cache.keyed(cache.eligible(readers.chunks(spark, a.chunks), counter), recipe)
+    held = readers.cache_records(spark, a.cache) if Path(a.cache).exists() else spark.createDataFrame([], schemas.CACHE_RECORD)
+    made = written(cache.generate(cache.missing(wanted, held), recipe, call, counter), "descriptions")
+    require_none(cache.append_errors(held, made.select("cache_key", "status")), "records can't be appended")
+    made.write.mode("append").json(a.cache, ignoreNullFields=False)
+    made.groupBy("status").count().show()
+
+
 def embed(spark: SparkSession, a: argparse.Namespace) -> None:
-    """Vector table and manifest of chunks, with the hashing embedder."""
+    """Vector table and manifest of chunks, with the hashing embedder; b567 takes a cache of descriptions and its recipe."""
     began = time.time()
     made = readers.chunks(spark, a.chunks)
-    document = build.build_index(made, a.out, candidate=a.candidate, embedder=index.hash_embedder(a.dimensions), model="hash", dimensions=a.dimensions, snapshot_sha=a.snapshot_sha, built_at=_now())
+    said = {"cache": readers.cache_records(spark, a.cache), "recipe": _recipe(a.recipe)} if a.cache else {}
+    document = build.build_index(made, a.out, candidate=a.candidate, embedder=index.hash_embedder(a.dimensions), model="hash", dimensions=a.dimensions, snapshot_sha=a.snapshot_sha, built_at=_now(), **said)
     sinks.save_json(document, a.manifest)
     print(document["chunk_count"], "chunks,", sinks.size_text(sinks.folder_bytes(spark, a.out)), f"{time.time() - began:.1f} s")
 
@@ -129,6 +159,32 @@ def compare(spark: SparkSession, a: argparse.Namespace) -> None:
     sys.exit(int(not found.isEmpty()))
 
 
+def holdout(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Results of a sealed holdout over a vector table, and its commitment; texts of queries aren't written."""
+    payload = Path(a.payload).read_text("utf-8").strip()
+    targets = readers.holdout(spark, payload)
+    texts = {r["query_id"]: r["query"] for r in targets.select("query_id", "query").distinct().collect()}
+    hits = build.search(spark, a.table, texts, index.hash_embedder(a.dimensions))
+    sinks.jsonl(evaluation.run_holdout(hits, targets, readers.chunks(spark, a.chunks)), a.out, "query_id", "group_index", single=True)
+    print(json.dumps(readers.holdout_commitment(payload)))
+
+
+def gate(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Gates of a release over results: full, fallback, holdout or holdout-fallback; exit status 1 if it may not go out."""
+    read = lambda path: readers.jsonl(spark, path, f"{schemas.RESULT}, family string")
+    own = read(a.results)
+    needed = {"full": ["before"], "fallback": ["base", "before"], "holdout": [], "holdout-fallback": ["base"]}
+    if a.kind not in needed:
+        raise ValueError(f"no such kind of release: {a.kind}; there are {sorted(needed)}")
+    if lost := [name for name in needed[a.kind] if not getattr(a, name)]:
+        raise ValueError(f"gates of kind {a.kind} need the results {lost}")
+    others = [read(getattr(a, name)) for name in needed[a.kind]]
+    run = {"full": gates.full_release, "fallback": gates.fallback_release, "holdout": gates.holdout_full, "holdout-fallback": gates.holdout_fallback}[a.kind]
+    report = written(run(own, *others), "gates")
+    report.orderBy("severity", "gate", "message").show(200, truncate=False)
+    sys.exit(int(not gates.verdict(report).first()["passed"]))
+
+
 OPTIONS = {
     fetch: ["config", "staging", "manifest"],
     crawl: ["name", "url", "tree", "--hosts=", "--delay=1.0"],
@@ -137,8 +193,11 @@ OPTIONS = {
     assemble: ["archives", "out", "--expected=4", "--failed=failed_urls.txt", "--report=report.md"],
     snapshot: ["folder", "--official=", "--staging=", "--manifest=", "--config="],
     chunk: ["out", "--official=", "--staging=", "--manifest=", "--config=", "--snapshot=", "--tokenizer=", "--quarter=?"],
-    embed: ["chunks", "out", "manifest", "--candidate=b56", "--dimensions=64", "--snapshot-sha="],
+    embed: ["chunks", "out", "manifest", "--candidate=b56", "--dimensions=64", "--snapshot-sha=", "--cache=", "--recipe="],
+    describe: ["chunks", "cache", "recipe", "command", "--tokenizer="],
     evaluate: ["fixtures", "table", "out", "--dimensions=64"],
+    holdout: ["payload", "table", "chunks", "out", "--dimensions=64"],
+    gate: ["results", "--kind=full", "--base=", "--before="],
     compare: ["first", "second"],
 }
 

@@ -117,8 +117,8 @@ def run_holdout(hits: DataFrame, targets: DataFrame, chunks: DataFrame, limit: f
 
 
 def best_groups(results: DataFrame, by: str = "query_id") -> DataFrame:
-    """Each query's best group: hits first, then the lower rank, then the smaller distance."""
-    key = F.struct(F.col("rank").isNull(), F.coalesce("rank", F.lit(0)), F.coalesce("distance", F.lit(float("inf"))))
+    """Each query's best group: hits first, then the lower rank, then the smaller distance, then the earlier group."""
+    key = F.struct(F.col("rank").isNull(), F.coalesce("rank", F.lit(0)), F.coalesce("distance", F.lit(float("inf"))), "group_index")
     return results.groupBy(by).agg(F.min_by(F.struct("group_index", "rank", "distance", "status", "rank1_source_type", "hit"), key).alias("b")).select(by, "b.*")
 
 

@@ -419,22 +419,40 @@ def run_comparison(t: Tables) -> DataFrame:
     return evaluate.compare_results(_results(t), _results(t, knn_filtered(t)))
 
 
-IDS = ",".join(f"'{i}'" for i in (*gates.PRIMARY, *gates.OFFICIAL, *gates.EXPOSED[:5]))
-
-
-@query(f"""SELECT count(*) FILTER (gate = 'identifier') AS identifier_failures, count(*) FILTER (gate = 'official') AS official_failures FROM (
-SELECT 'identifier' AS gate FROM (SELECT i, bool_or(coalesce(hit, false)) AS p FROM (SELECT unnest([{",".join(f"'{i}'" for i in gates.IDENTIFIER)}]) AS i) LEFT JOIN (SELECT ([{IDS}])[(row_number() OVER (ORDER BY query_id::BIGINT))] AS i, hit FROM {RESULTS}) USING (i) GROUP BY 1) WHERE NOT p
-UNION ALL SELECT 'official' FROM (SELECT unnest([coalesce(rank, 9) > 3, coalesce(distance, 9) > 0.45, coalesce(rank1_source_type, '') <> 'official']) AS bad FROM (SELECT unnest([{",".join(f"'{i}'" for i in gates.OFFICIAL)}]) AS i) LEFT JOIN (SELECT ([{IDS}])[(row_number() OVER (ORDER BY query_id::BIGINT))] AS i, rank, distance, rank1_source_type FROM {RESULTS}) USING (i)) WHERE bad)""")
+SUITE = (*gates.PRIMARY, *gates.OFFICIAL, *gates.EXPOSED[:5])
+
+
+def _listed(ids: tuple[str, ...]) -> str:
+    return ",".join(f"'{i}'" for i in ids)
+
+
+def _named(results: DataFrame) -> DataFrame:
+    """The suite's names dealt to all searched queries; those that share a name are its target groups."""
+    number = F.col("query_id").cast("long")
+    names = F.array(*[F.lit(i) for i in SUITE])
+    return results.withColumns({"query_id": F.get(names, (number % len(SUITE)).cast("int")), "group_index": F.floor(number / len(SUITE)).cast("int")})
+
+
+@query(f"""WITH a AS MATERIALIZED (SELECT ([{_listed(SUITE)}])[query_id::BIGINT % {len(SUITE)} + 1] AS q, query_id::BIGINT // {len(SUITE)} AS g, * FROM {RESULTS}),
+w AS MATERIALIZED (SELECT ([{_listed(SUITE)}])[query_id::BIGINT % {len(SUITE)} + 1] AS q, query_id::BIGINT // {len(SUITE)} AS g, hit FROM {OTHER}),
+n AS (SELECT unnest([{_listed(SUITE)}]) AS q), p AS (SELECT q, coalesce(bool_or(hit), false) AS p FROM n LEFT JOIN a USING (q) GROUP BY q),
+best AS (SELECT n.q, rank, distance, status, rank1_source_type FROM n LEFT JOIN (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY q ORDER BY rank IS NULL, coalesce(rank, 0), coalesce(distance, 'inf'::DOUBLE), g) = 1) b USING (q)),
+u AS (SELECT identity, min(rank) AS rank FROM a WHERE q IN ({_listed(gates.PRIMARY)}) GROUP BY 1), ud AS (SELECT u.identity, u.rank, min(a.distance) AS distance FROM u LEFT JOIN a ON a.identity = u.identity AND a.rank = u.rank AND q IN ({_listed(gates.PRIMARY)}) GROUP BY 1, 2),
+r AS (SELECT w.hit AS was, a.hit AS now FROM w JOIN a USING (q, g) WHERE q IN ({_listed(gates.IDENTIFIER)})),
+f AS (
+SELECT 'generic' AS gate, 'failure' AS severity, (count(*) FILTER (p) < 4)::INT AS n FROM p WHERE q IN ({_listed(gates.GENERIC)}) UNION ALL SELECT 'identifier', 'failure', count(*) FROM p WHERE NOT p AND q IN ({_listed(gates.IDENTIFIER)})
+UNION ALL SELECT 'task', 'failure', (count(*) FILTER (p) < 4)::INT FROM p WHERE q IN ({_listed(gates.TASK)}) UNION ALL SELECT 'companion', 'failure', (count(*) FILTER (p) < 14)::INT FROM p WHERE q IN ({_listed(gates.PRIMARY)})
+UNION ALL SELECT 'companion', 'failure', (count(rank) < 15)::INT + (count(*) FILTER (distance <= 0.45) < 14)::INT + coalesce(avg(coalesce(1.0::DOUBLE / rank, 0)) < 0.65 - 1e-9, true)::INT FROM ud
+UNION ALL SELECT 'mandatory', 'failure', (NOT p)::INT FROM p WHERE q = 'G01' UNION ALL SELECT 'mandatory', 'failure', (NOT coalesce(hit, false))::INT FROM (SELECT unnest(['T02', 'T03', 'T03']) AS q, unnest([0, 0, 1]) AS g) LEFT JOIN a USING (q, g)
+UNION ALL SELECT 'rescue', 'failure', coalesce(rank > 2, true)::INT + coalesce(distance > 0.45, true)::INT + coalesce(status <> 'ok', true)::INT FROM best WHERE q = 'G01'
+UNION ALL SELECT 'official', 'failure', coalesce(rank > 3, true)::INT + coalesce(distance > 0.45, true)::INT + coalesce(rank1_source_type <> 'official', true)::INT FROM best WHERE q IN ({_listed(gates.OFFICIAL)})
+UNION ALL SELECT 'exposed', 'failure', coalesce(rank > 2, true)::INT + coalesce(distance > 0.45, true)::INT + coalesce(status <> 'ok', true)::INT FROM best WHERE q = 'E01' UNION ALL SELECT 'exposed', 'failure', (NOT hit)::INT FROM a WHERE q IN ({_listed(gates.EXPOSED[1:5])})
+UNION ALL SELECT 'identifier-regression', 'failure', (was AND NOT now)::INT FROM r UNION ALL SELECT 'identifier-regression', 'advisory', (NOT was AND NOT now)::INT FROM r)
+SELECT gate, severity, sum(n)::BIGINT AS n FROM f GROUP BY 1, 2 HAVING sum(n) > 0""")
 def release_gates(t: Tables) -> DataFrame:
-    """The suite's names go to the searched queries in order of id."""
-    from pyspark.sql import Window
-
-    names = F.array(*[F.lit(i) for i in (*gates.PRIMARY, *gates.OFFICIAL, *gates.EXPOSED[:5])])
-    place = F.row_number().over(Window.orderBy(F.col("query_id").cast("long")))
-    named = _results(t).withColumn("query_id", F.get(names, place - 1)).where("query_id IS NOT NULL")
-    report = gates.full_release(named, named)
-    count = lambda g: F.count_if((F.col("gate") == g) & (F.col("severity") == "failure")).alias(f"{g}_failures")
-    return report.agg(count("identifier"), count("official"))
+    """All searched queries as one suite, held against the filtered search as the run before: failures and notes by gate."""
+    report = gates.full_release(_named(_results(t)), _named(_results(t, knn_filtered(t))))
+    return report.groupBy("gate", "severity").agg(F.count(F.lit(1)).alias("n"))
 
 
 # *** parsers
