@@ -227,14 +227,14 @@ class Bm25Shard:
         self.starts = np.r_[0, np.cumsum(np.bincount(term, minlength=space))]
 
     def scores(self, seed: int) -> np.ndarray:
-        """BM25 score of every document of the shard for all distinct terms of the seed, to four decimals: equal texts tie."""
+        """BM25 score of every document of the shard for all distinct terms of the seed."""
         terms = self.term[(self.ends[seed - 1] if seed else 0) : self.ends[seed]]
         rows = self.row[terms]
         asked = np.zeros(len(self.dense), np.float32)
         asked[rows[rows >= 0]] = 1
         runs = [slice(a, b) for a, b in zip(self.starts[terms].tolist(), self.starts[terms + 1].tolist()) if b > a]
         found = np.bincount(np.concatenate([self.posting_doc[r] for r in runs]), np.concatenate([self.posting_weight[r] for r in runs]), self.n) if runs else np.zeros(self.n)
-        return np.round(found + asked @ self.dense, 4)
+        return found + asked @ self.dense
 
 
 class Packer:
@@ -278,7 +278,7 @@ class Packer:
 
     def _neighbours(self, index: Bm25Shard, docs: list[tuple[object, np.ndarray]], free: np.ndarray, seed: int) -> tuple[int, int]:
         """Fill the open window with the seed's unused neighbours. What is left of the last of them, as the next seed."""
-        scores = np.where(free, index.scores(seed), -1.0)
+        scores = np.where(free, np.round(index.scores(seed), 4), -1.0)  # so that equal texts tie
         look = LOOK
         while True:
             best = np.argpartition(-scores, look - 1)[:look] if look < len(scores) else np.arange(len(scores))

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from sparkloom.llm.packing import END_ID, Bm25Shard, UnitTokenizer, pack_documents
+from sparkloom.llm.packing import END_ID, Bm25Shard, UnitTokenizer, corpus_of, corpus_statistics, pack_documents, tokenized
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 LIBRARY = Tokenizer.from_file(PATH)
@@ -87,3 +87,33 @@ def test_all_terms_of_a_long_seed_query():
     seed = np.arange(200, dtype=np.uint32)
     docs = [seed, *(np.array([t, 500 + t], np.uint32) for t in range(200))]
     assert (Bm25Shard(docs).scores(0) > 0).all()
+
+
+def test_common_and_rare_terms_score_alike():
+    """More documents than DENSE: the matrix and the postings together give every document's full score."""
+    rng = np.random.default_rng(4)
+    docs = [np.r_[np.arange(5), rng.integers(5, 400, rng.integers(1, 30))].astype(np.uint16) for _ in range(60)]
+    corpus = corpus_of(docs, 400)
+    index = Bm25Shard(docs, corpus)
+    assert len(index.dense) >= 5 and len(index.posting_doc)
+    for s in range(0, 60, 7):
+        want = [sum(float(corpus.weights(np.array([t]), np.array([(d == t).sum()]), float(len(d)))[0]) for t in np.unique(docs[s]) if (d == t).any()) for d in docs]
+        assert np.allclose(index.scores(s), want, atol=1e-4)
+
+
+def test_statistics_are_the_whole_tables(spark):
+    data = [(i, f"shared only{i % 7} " * (i % 5)) for i in range(50)]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(6)
+    found = corpus_statistics(tokenized(df, PATH), OWN.vocabulary)
+    want = corpus_of([OWN.ids(t) for _, t in data], OWN.vocabulary)
+    assert (found.df == want.df).all() and found.documents == 50 and found.mean == want.mean
+
+
+def test_copies_meet_in_a_shard(spark):
+    """Copies far apart in the input, shards far smaller than it: nearly all share a window or the next."""
+    rng = np.random.default_rng(1)
+    words = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in "lmnrst"]
+    texts = [" ".join(rng.choice(words, 40)) for _ in range(150)]
+    df = spark.createDataFrame([(i, texts[i % 150]) for i in range(300)], "doc_id long, text string").repartition(3)
+    first = {r.doc_id: r.sequence_id for r in pack_documents(df, PATH, window=512, shard_tokens=4000).where("start = 0").collect()}
+    assert sum(abs(first[i] - first[i + 150]) <= 1 for i in range(150)) >= 140
