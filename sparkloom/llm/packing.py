@@ -82,8 +82,12 @@ class UnitTokenizer:
         return next(self.each([text], end))
 
     def each(self, texts: Iterable[str | None], end: int | None = END_ID) -> Iterator[np.ndarray]:
-        """Ids of every text; new units are looked up together, for about UNITS_AT_ONCE units at a time."""
-        tail = b"" if end is None else end.to_bytes(4, "little")
+        """Ids of every text."""
+        return (np.frombuffer(raw, self.kind) for raw in self.raw(texts, end))
+
+    def raw(self, texts: Iterable[str | None], end: int | None = END_ID) -> Iterator[bytes]:
+        """Ids as bytes of ``kind``; new units are looked up together, for about UNITS_AT_ONCE units at a time."""
+        tail = b"" if end is None else np.array([end], self.kind).tobytes()
         waiting: list[list[bytes]] = []
         n = 0
         for text in texts:
@@ -95,13 +99,23 @@ class UnitTokenizer:
                 waiting, n = [], 0
         yield from self._join(waiting, tail)
 
-    def _join(self, texts: list[list[bytes]], tail: bytes) -> Iterator[np.ndarray]:
+    def _join(self, texts: list[list[bytes]], tail: bytes) -> Iterator[bytes]:
         if len(self.units) > MAX_UNITS:
             self.units.clear()
-        new = self._new(set().union(*texts).difference(self.units))
-        self.units.update(new)
+        get = self.units.get
+        joined: list[bytes | None] = []
+        missing: set[bytes] = set()
         for units in texts:
-            yield np.frombuffer(b"".join(map(self.units.__getitem__, units)) + tail, "<u4")
+            found = list(map(get, units))
+            try:
+                joined.append(b"".join(found))
+            except TypeError:  # some are None
+                joined.append(None)
+                missing.update([u for u, ids in zip(units, found) if ids is None])
+        new = self._new(missing)
+        self.units.update(new)
+        for units, raw in zip(texts, joined):
+            yield (b"".join(map(self.units.__getitem__, units)) if raw is None else raw) + tail
         for u in [u for u in new if len(u) > LONG_UNIT]:
             del self.units[u]
 
@@ -135,8 +149,8 @@ class UnitTokenizer:
         found = self._parted(other if self.plain else words)
         if plain:
             (encoded,) = self.plain.encode_batch_fast([" ".join(plain)], add_special_tokens=False)
-            ids = np.array(encoded.ids, "<u4")
-            cuts = [0, *((np.flatnonzero(self.ends_word[ids]) + 1) * 4).tolist()]
+            ids = np.array(encoded.ids, self.kind)
+            cuts = [0, *((np.flatnonzero(self.ends_word[ids]) + 1) * ids.itemsize).tolist()]
             raw = ids.tobytes()
             found.update(zip(keys, [raw[a:b] for a, b in zip(cuts, cuts[1:])], strict=True))
         return found
@@ -147,11 +161,12 @@ class UnitTokenizer:
             return {}
         texts = [w.decode("utf-8", "surrogatepass") for w in words]
         encoded = self.library.encode(" ".join(texts), add_special_tokens=False)
-        ids = np.array(encoded.ids, "<u4").tobytes()
+        ids = np.array(encoded.ids, self.kind)
+        raw = ids.tobytes()
         begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
-        offsets = np.fromiter(map(itemgetter(0), encoded.offsets), np.int64, len(ids) // 4)
-        cuts = (np.searchsorted(offsets, begins) * 4).tolist()
-        return dict(zip(words, [ids[a:b] for a, b in zip(cuts, cuts[1:])]))
+        offsets = np.fromiter(map(itemgetter(0), encoded.offsets), np.int64, len(ids))
+        cuts = (np.searchsorted(offsets, begins) * ids.itemsize).tolist()
+        return dict(zip(words, [raw[a:b] for a, b in zip(cuts, cuts[1:])]))
 
 
 @lru_cache(maxsize=4)
@@ -317,13 +332,13 @@ def tokenized(docs: DataFrame, tokenizer_path: str) -> DataFrame:
         for batch in slices(batches):
             id_type = batch.schema.field(0).type
             found, leads = [], []
-            for ids in tokenizer.each(batch.column(1).to_pylist()):
-                ids = ids.astype(tokenizer.kind)
+            for raw in tokenizer.raw(batch.column(1).to_pylist()):
+                ids = np.frombuffer(raw, tokenizer.kind)
                 terms, counts = terms_of(ids)
                 df[terms] += 1
                 leads.append(leading(terms, counts, rarity))
                 tokens += len(ids)
-                found.append(ids.tobytes())
+                found.append(raw)
             n += len(found)
             first, second = zip(*leads) if leads else ((), ())
             nothing = [pa.nulls(len(found), pa.list_(pa.int32())), pa.nulls(len(found), pa.list_(pa.int64()))]
