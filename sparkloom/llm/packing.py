@@ -27,11 +27,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import hold, materialize, passing_tables, slices
+from sparkloom.llm.common import hold, materialize, passing_tables
 
 WINDOW = 4096
 END_ID = 2
@@ -43,7 +44,7 @@ DENSE = 8
 #: Tokens of a shard, about. One document may be longer; it then is a shard of its own.
 SHARD_TOKENS = 1 << 21
 MAX_UNITS = 1_000_000
-UNITS_AT_ONCE = 300_000
+UNITS_AT_ONCE, TEXT_AT_ONCE = 1 << 20, 8 << 20
 LONG_UNIT = 200
 #: What often follows a word, none of it a letter, digit or apostrophe.
 ENDINGS = b".,;:!?*#$%&()[]|\"-"
@@ -86,38 +87,43 @@ class UnitTokenizer:
         return (np.frombuffer(raw, self.kind) for raw in self.raw(texts, end))
 
     def raw(self, texts: Iterable[str | None], end: int | None = END_ID) -> Iterator[bytes]:
-        """Ids as bytes of ``kind``; new units are looked up together, for about UNITS_AT_ONCE units at a time."""
+        """Ids as bytes of ``kind``."""
+        return self.encoded(pa.array(texts, pa.string()), end)
+
+    def encoded(self, texts: pa.Array, end: int | None = END_ID) -> Iterator[bytes]:
+        """Ids of an Arrow column's texts. Units are split and numbered in Arrow, and looked up once a column."""
         tail = b"" if end is None else np.array([end], self.kind).tobytes()
-        waiting: list[list[bytes]] = []
-        n = 0
-        for text in texts:
-            raw = (text or "").encode("utf-8", "surrogatepass")
-            waiting.append((raw if b"<|" in raw else raw.lower()).split())
-            n += len(waiting[-1])
-            if n >= UNITS_AT_ONCE:
-                yield from self._join(waiting, tail)
-                waiting, n = [], 0
-        yield from self._join(waiting, tail)
-
-    def _join(self, texts: list[list[bytes]], tail: bytes) -> Iterator[bytes]:
+        texts = texts.fill_null("")
+        lowered = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        split = pc.ascii_split_whitespace(lowered)
+        numbered = split.flatten().cast(pa.binary()).dictionary_encode()
         if len(self.units) > MAX_UNITS:
             self.units.clear()
-        get = self.units.get
-        joined: list[bytes | None] = []
-        missing: set[bytes] = set()
-        for units in texts:
-            found = list(map(get, units))
-            try:
-                joined.append(b"".join(found))
-            except TypeError:  # some are None
-                joined.append(None)
-                missing.update([u for u, ids in zip(units, found) if ids is None])
-        new = self._new(missing)
+        distinct = numbered.dictionary.to_pylist()
+        new = self._new(set(distinct).difference(self.units))
         self.units.update(new)
-        for units, raw in zip(texts, joined):
-            yield (b"".join(map(self.units.__getitem__, units)) if raw is None else raw) + tail
+        own = list(map(self.units.__getitem__, distinct))
         for u in [u for u in new if len(u) > LONG_UNIT]:
             del self.units[u]
+        ids = np.frombuffer(b"".join(own), self.kind)
+        lengths = np.fromiter(map(len, own), np.int64, len(own)) // np.dtype(self.kind).itemsize
+        starts = np.cumsum(lengths) - lengths
+        words = numbered.indices.to_numpy(zero_copy_only=False)
+        edges = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))])
+        ends = np.concatenate([[0], np.cumsum(lengths[words])])[edges]  # of each text's ids
+        doc, held, at = 0, [], 0
+        for k in range(0, max(1, len(words)), UNITS_AT_ONCE):
+            part = words[k : k + UNITS_AT_ONCE]
+            n = lengths[part]
+            before = np.cumsum(n) - n
+            held.append(ids[np.repeat(starts[part] - before, n) + np.arange(int(n.sum()))])
+            have = at + sum(map(len, held))
+            if doc < len(texts) and ends[doc + 1] <= have:
+                flat = np.concatenate(held) if len(held) > 1 else held[0]
+                while doc < len(texts) and ends[doc + 1] <= have:
+                    yield flat[ends[doc] - at : ends[doc + 1] - at].tobytes() + tail
+                    doc += 1
+                held, at = [flat[ends[doc] - at :]], int(ends[doc])
 
     def _new(self, units: set[bytes]) -> dict[bytes, bytes]:
         words = [w if len(w := u.rstrip(ENDINGS)) != len(u) and w[-1:].isalnum() else u for u in units]  # of bytes: an ASCII letter or digit
@@ -317,6 +323,18 @@ PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id
 DOCUMENTS, TOKENS = -1, -2
 
 
+def by_size(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut where their texts (second column) exceed TEXT_AT_ONCE bytes; a longer text is alone."""
+    for batch in batches:
+        total = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            before = int(total[at - 1]) if at else 0
+            end = max(at + 1, int(np.searchsorted(total, before + TEXT_AT_ONCE, side="right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def tokenized(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """doc_id, ids (two or four bytes each) and leading terms; and of each task a row with the counts of what it saw (terms, counts)."""
     schema = f"first int, second int, doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary, terms array<int>, counts array<long>"
@@ -329,10 +347,10 @@ def tokenized(docs: DataFrame, tokenizer_path: str) -> DataFrame:
         rarity = np.square(np.arange(tokenizer.vocabulary) / tokenizer.vocabulary)
         n = tokens = 0
         id_type = None
-        for batch in slices(batches):
+        for batch in by_size(batches):
             id_type = batch.schema.field(0).type
             found, leads = [], []
-            for raw in tokenizer.raw(batch.column(1).to_pylist()):
+            for raw in tokenizer.encoded(batch.column(1)):
                 ids = np.frombuffer(raw, tokenizer.kind)
                 terms, counts = terms_of(ids)
                 df[terms] += 1
