@@ -67,6 +67,8 @@ def crawl(spark: SparkSession, a: argparse.Namespace) -> None:
         tree.delta(tree.nodes(spark, readers.load_tree(a.tree)), tree.nodes(spark, roots)).groupBy("change").count().show()
     sinks.save_tree(roots, a.tree)
     tree.tree_stats(tree.nodes(spark, roots)).show()
+    if a.check:
+        tree.unreachable(tree.nodes(spark, roots), http_get, a.check, a.delay).show(a.check, truncate=False)
 
 
 def scrape(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -187,7 +189,7 @@ def gate(spark: SparkSession, a: argparse.Namespace) -> None:
 
 OPTIONS = {
     fetch: ["config", "staging", "manifest"],
-    crawl: ["name", "url", "tree", "--hosts=", "--delay=1.0"],
+    crawl: ["name", "url", "tree", "--hosts=", "--delay=1.0", "--check=20"],
     scrape: ["tree", "out", "--roots=", "--clients=2", "--failed=failed_urls.txt"],
     shards: ["tree", "--shards=4", "--outputs="],
     assemble: ["archives", "out", "--expected=4", "--failed=failed_urls.txt", "--report=report.md"],

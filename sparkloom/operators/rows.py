@@ -34,11 +34,12 @@ def flat_map(df: DataFrame, parse: Callable[[Row], Iterable[Row]], schema: str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made: list[Row] = []
         for batch in batches:
-            for i in range(batch.num_rows):
-                made.extend(parse({name: batch.column(k)[i].as_py() for k, name in enumerate(batch.schema.names)}))
-                if len(made) >= out_rows:
-                    yield pa.RecordBatch.from_pylist(made, schema=arrow)
-                    made = []
+            for at in range(0, batch.num_rows, 500):
+                for row in batch.slice(at, 500).to_pylist():
+                    made.extend(parse(row))
+                    if len(made) >= out_rows:
+                        yield pa.RecordBatch.from_pylist(made, schema=arrow)
+                        made = []
         yield pa.RecordBatch.from_pylist(made, schema=arrow)
 
     return df.mapInArrow(run, spark_schema)

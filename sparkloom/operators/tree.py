@@ -14,6 +14,7 @@ from sparkloom import schemas
 from sparkloom.functions import columns as C
 from sparkloom.functions import html
 from sparkloom.operators.rows import flat_map
+from sparkloom.session import written
 
 
 def flatten(roots: list[dict[str, Any]]) -> Iterator[dict[str, Any]]:
@@ -59,16 +60,23 @@ def select_roots(tree: DataFrame, indices: list[int] | None) -> DataFrame:
     return tree if indices is None else tree.where(F.col("root_index").isin(*indices))
 
 
-def closure(edges: DataFrame, node: str, parent: str, rounds: int = 64) -> DataFrame:
-    """(node, ancestor, distance) of all pairs on a path, itself at distance 0. Each round doubles the reach."""
-    reach = edges.select(F.col(node).alias("node"), F.col(parent).alias("ancestor"), F.lit(1).alias("distance")).where("ancestor IS NOT NULL")
-    step = reach
-    for _ in range(rounds):
-        far = step.alias("a").join(reach.alias("b"), F.col("a.ancestor") == F.col("b.node")).select("a.node", "b.ancestor", (F.col("a.distance") + F.col("b.distance")).alias("distance"))
+def closure(edges: DataFrame, node: str, parent: str) -> DataFrame:
+    """(node, ancestor, distance) of all pairs on a path, itself at distance 0. Each round doubles the reach, and is written down.
+
+    ValueError if the edges run in a circle, which no tree's do.
+    """
+    reach = written(edges.select(F.col(node).alias("node"), F.col(parent).alias("ancestor"), F.lit(1).alias("distance")).where("ancestor IS NOT NULL"), "reach")
+    span = 1
+    while True:
+        # all of distance 1 to span are there: those of span + 1 to 2 span are one of exactly span, then any
+        far = reach.where(F.col("distance") == span).alias("a").join(reach.alias("b"), F.col("a.ancestor") == F.col("b.node"))
+        far = written(far.select("a.node", "b.ancestor", (F.col("a.distance") + F.col("b.distance")).alias("distance")), "far")
         if far.isEmpty():
             break
-        reach = reach.unionByName(far).distinct()
-        step = far
+        if not far.where("node = ancestor").isEmpty():
+            raise ValueError("the edges run in a circle")
+        reach = reach.unionByName(far)
+        span *= 2
     own = edges.select(F.col(node).alias("node"), F.col(node).alias("ancestor"), F.lit(0).alias("distance"))
     return reach.unionByName(own)
 
@@ -114,6 +122,13 @@ def sample_urls(tree: DataFrame, n: int = 20, seed: int = 7) -> DataFrame:
     return tree.orderBy(F.md5(F.concat(F.lit(str(seed)), "url")), "node_id").limit(n)
 
 
+def unreachable(tree: DataFrame, get: Callable[[str], tuple[int, str, str]], n: int = 20, delay: float = 1.0, wait: Callable[[float], None] | None = None) -> DataFrame:
+    """(url, status) of a sample's nodes that don't answer with 200; status 0 is no answer at all."""
+    from sparkloom.sources.readers import http_pages
+
+    return http_pages(sample_urls(tree, n).select("url"), get, tries=1, delay=delay, wait=wait).where("status <> 200").select("url", "status")
+
+
 def sidebar_items(pages: DataFrame, hosts: frozenset[str] = frozenset()) -> DataFrame:
     """Menu items of each page (url, html)."""
     return flat_map(pages.select("url", "html"), lambda row: ({"url": row["url"], **x} for x in html.sidebar(html.parse(row["html"] or ""), hosts)), f"url string, {schemas.SIDEBAR_ITEM}")

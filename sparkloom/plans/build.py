@@ -97,3 +97,18 @@ def search(spark: SparkSession, path: str, queries: dict[str, str], embedder: Em
     found = index.nearest(asked, table.withColumnRenamed("id", "vec_id"), k)
     told = table.select(F.col("id").alias("vec_id"), F.col("document").alias("content"), F.col("metadata.page_key").alias("page_key"), F.col("metadata.source_type").alias("source_type"))
     return found.join(told, "vec_id").select("query_id", F.col("rank").alias("position"), F.col("vec_id").alias("chunk_id"), "page_key", "content", "distance", "source_type")
+
+
+class Service:
+    """A vector table opened for search. ValueError where its manifest tells of another model, size or contract."""
+
+    def __init__(self, spark: SparkSession, path: str, manifest: dict[str, Any], embedder: Embedder, *, model: str, dimensions: int, candidate: str | None = None) -> None:
+        told = (manifest.get("embedding_model"), manifest.get("embedding_dim"))
+        if told != (model, dimensions):
+            raise ValueError(f"the table was built with {told}, not with {(model, dimensions)}")
+        if candidate and (version := manifest.get("embedding_contract", {}).get("embedding_text_version")) != candidate:
+            raise ValueError(f"the table holds {version}, not {candidate}")
+        self.spark, self.path, self.embedder = spark, path, embedder
+
+    def search(self, queries: dict[str, str], k: int = 5, source_type: str | None = None) -> DataFrame:
+        return search(self.spark, self.path, queries, self.embedder, k, source_type)

@@ -117,7 +117,10 @@ def cache_keys(t: Tables) -> DataFrame:
 
 @query("SELECT coalesce(lang, 'Unknown') AS category, count(*) AS n FROM documents GROUP BY 1")
 def category_counts(t: Tables) -> DataFrame:
-    return t.documents.groupBy(F.coalesce("lang", F.lit("Unknown")).alias("category")).agg(F.count(F.lit(1)).alias("n"))
+    """The manifest's own counts, unfolded."""
+    own = {c: F.lit(None).cast("string") for c in ("source_url", "upstream_repo", "upstream_commit", "source_path", "breadcrumb")}
+    made = index.manifest(t.documents.select(F.coalesce("lang", F.lit("Unknown")).alias("category"), F.col("source").alias("source_type"), F.col("doc_id").cast("string").alias("page_key"), *[v.alias(k) for k, v in own.items()]))
+    return made.select(F.explode("category_counts").alias("category", "n"))
 
 
 @query("SELECT coalesce(source, 'official') AS source_type, count(*) AS n, count(DISTINCT lang) AS langs FROM documents GROUP BY 1")
@@ -212,7 +215,9 @@ def marker_join(t: Tables) -> DataFrame:
 
 @query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def missing_keys(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id").join(t.labels, "doc_id", "left_anti")
+    """Documents as keyed chunks, labels as the cache: the keys that it lacks, each with a chunk that stands for it."""
+    keyed = t.documents.select(F.col("doc_id").alias("cache_key"), F.col("doc_id").alias("id"))
+    return cache.missing(keyed, t.labels.select(F.col("doc_id").alias("cache_key"))).select(F.col("chunk.id").alias("doc_id"))
 
 
 @query("SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)")
@@ -228,12 +233,16 @@ def snapshot_drift(t: Tables) -> DataFrame:
     return sinks.snapshot_errors(recorded, present)
 
 
-@query("SELECT n.n_name AS path, 'no hash in the manifest' AS error FROM nation n WHERE n_regionkey = 0 UNION ALL SELECT n_name, 'content differs' FROM nation WHERE n_regionkey <> 0 AND n_regionkey <> 1")
+@query("""SELECT CASE WHEN doc_id % 5 = 4 THEN '../' ELSE 'd/' END || doc_id || '.md' AS path,
+CASE doc_id % 5 WHEN 0 THEN 'no hash in the manifest' WHEN 1 THEN 'content differs' WHEN 2 THEN 'file is missing' ELSE 'path isn''t allowed' END AS error FROM documents WHERE doc_id % 5 <> 3""")
 def staging_errors(t: Tables) -> DataFrame:
-    manifest = t.nation.select(F.col("n_name").alias("path"), F.when(F.col("n_regionkey") == 0, "").when(F.col("n_regionkey") == 1, C.sha256(F.col("n_name"))).otherwise("0").alias("sha256"))
+    """Documents as staged files: as fetched, changed, lost, without a hash, or at a path that isn't allowed."""
     from sparkloom.sources import readers
 
-    return readers.staging_errors(manifest, t.nation.select(F.col("n_name").alias("path"), C.sha256(F.col("n_name")).alias("sha256")))
+    path = F.concat(F.when(F.col("doc_id") % 5 == 4, "../").otherwise("d/"), "doc_id", F.lit(".md"))
+    wanted = F.when(F.col("doc_id") % 5 == 0, "").when(F.col("doc_id") % 5 == 1, "0").otherwise(C.sha256(F.col("text")))
+    staged = t.documents.where("doc_id % 5 <> 2").select(path.alias("path"), C.sha256(F.col("text")).alias("sha256"))
+    return readers.staging_errors(t.documents.select(path.alias("path"), wanted.alias("sha256")), staged)
 
 
 CHUNKS = """(SELECT doc_id::VARCHAR AS id, text AS content, CASE WHEN lang = 'en' THEN 'companion_reference' ELSE 'official' END AS source_type, CASE WHEN lang = 'fr' THEN '' ELSE 'About ' || source END AS s6_header, sha256(text) AS cache_key, source AS page_key,
@@ -584,16 +593,25 @@ def append_errors(t: Tables) -> DataFrame:
     return cache.append_errors(t.labels.select(F.col("doc_id").cast("string").alias("cache_key")), t.documents.select(F.col("doc_id").cast("string").alias("cache_key"), status.alias("status")))
 
 
-@query("SELECT n_name AS path, 'area' AS field FROM nation WHERE n_regionkey = 2 UNION ALL SELECT n_name, 'sections' FROM nation WHERE n_regionkey = 3")
+DRIFTS = ("file", "file", "title", "area", "priority", "sections", "drop_sections", "strip_xml_blocks")
+
+
+@query(f"""SELECT 'd/' || doc_id || '.md' AS path, ([{",".join(f"'{d}'" for d in DRIFTS)}])[doc_id % 9 + 1] AS field FROM documents WHERE doc_id % 9 < 8""")
 def policy_drift(t: Tables) -> DataFrame:
-    """Nations as source files; the configuration has another area for region 2 and other sections for region 3. Order of sections doesn't count."""
+    """Documents as source files, each with one difference: on one side only, or in a field. Order of sections doesn't count."""
     from sparkloom.sources import readers
 
-    key, name = F.col("n_regionkey"), F.col("n_name")
-    policy = lambda area, sections: t.nation.select(name.alias("path"), name.alias("title"), area.alias("area"), F.lit(1).alias("priority"), sections.alias("sections"), F.array(name).alias("drop_sections"), F.lit(False).alias("strip_xml_blocks"))
-    manifest = policy(F.lit("a"), F.array(name, F.lit("x")))
-    config = policy(F.when(key == 2, "b").otherwise("a"), F.when(key == 3, F.array(name)).otherwise(F.array(F.lit("x"), name)))
-    return readers.policy_drift(manifest, config).select("path", "field")
+    k = F.col("doc_id") % 9
+
+    def policy(other: bool) -> DataFrame:
+        own = lambda n, a, b: F.when(k == n, b).otherwise(a) if other else a
+        names = [F.lit("y"), F.lit("x")] if other else [F.lit("x"), F.lit("y")]
+        return t.documents.where(k != (0 if other else 1)).select(
+            F.concat(F.lit("d/"), "doc_id", F.lit(".md")).alias("path"), own(2, F.col("lang"), F.lit("other")).alias("title"), own(3, F.lit("a"), F.lit("b")).alias("area"), own(4, F.lit(1), F.lit(2)).alias("priority"),
+            own(5, F.array(*names), F.array(F.lit("x"))).alias("sections"), own(6, F.array(F.lit("z")), F.array(F.lit("z"), F.lit("w"))).alias("drop_sections"), own(7, F.lit(True), F.lit(False)).alias("strip_xml_blocks"),
+        )
+
+    return readers.policy_drift(policy(False), policy(True)).select("path", "field")
 
 
 @query(f"SELECT url, depth FROM {NODES} ORDER BY md5('7' || url) LIMIT 20")

@@ -17,6 +17,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # one thread a worker in matrix libraries: results don't depend on a machine's cores, and tasks don't compete
+    **{f"spark.executorEnv.{name}_NUM_THREADS": "1" for name in ("OMP", "MKL", "OPENBLAS")},
 }
 
 

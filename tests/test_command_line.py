@@ -7,7 +7,8 @@ import sys
 import pytest
 
 from sparkloom import __main__ as cli
-from sparkloom.operators import gates
+from sparkloom.operators import gates, index
+from sparkloom.plans import build
 
 
 def args(*words):
@@ -65,3 +66,10 @@ def test_descriptions_are_cached_once_and_embedded(spark, tmp_path):
     cli.holdout(spark, args("holdout", str(tmp_path / "payload"), str(tmp_path / "vectors"), own[0], str(tmp_path / "found")))
     (found,) = spark.read.json(str(tmp_path / "found")).collect()
     assert found.hit and found.family == "official" and "query" not in found.asDict()
+
+    manifest = json.loads((tmp_path / "manifest.json").read_text())
+    service = build.Service(spark, str(tmp_path / "vectors"), manifest, index.hash_embedder(64), model="hash", dimensions=64, candidate="b567")
+    assert service.search({"q": "Topic uses fooBar."}, 2).count() == 2
+    for wrong in ({"model": "other", "dimensions": 64}, {"model": "hash", "dimensions": 32}, {"model": "hash", "dimensions": 64, "candidate": "c0"}):
+        with pytest.raises(ValueError):
+            build.Service(spark, "", manifest, None, **wrong)

@@ -68,3 +68,68 @@ def test_descriptions():
     assert errors("Map. Two. Three. Four ns:Root Kind.") == ["shape"]
     assert errors("Map ns:Root Kind <ns:X> ``` x") == ["shape"] and errors("Map ns:Root Kind " + "longword " * 70) == ["shape"]
     assert errors("The map of fooBar, ns:Root, Kind.") == ["introduced_identifier"]
+
+
+def test_word_pieces_of_a_vocabulary(tmp_path):
+    """A real WordPiece tokenizer, made from a vocabulary by hand: greedy longest pieces, unknown words whole."""
+    from tokenizers import Tokenizer, models, normalizers, pre_tokenizers
+
+    from sparkloom.functions.tokenizer import LibraryTokenizer
+
+    words = ["[UNK]", "[CLS]", "[SEP]", "map", "##ping", "##s", "node", "a", ".", "un", "##map", "##ped"]
+    made = Tokenizer(models.WordPiece({w: i for i, w in enumerate(words)}, unk_token="[UNK]"))
+    made.normalizer, made.pre_tokenizer = normalizers.BertNormalizer(), pre_tokenizers.BertPreTokenizer()
+    made.enable_truncation(4)
+    made.save(str(tmp_path / "t.json"))
+    counter = LibraryTokenizer(str(tmp_path / "t.json"))
+    for text, n in (("", 0), ("Mapping", 2), ("mappings a node.", 6), ("unmapped", 3), ("strange words", 2), ("maps " * 50, 100)):
+        assert counter.count(text) == n
+
+
+def test_the_sample_of_a_tree_is_asked_for(spark):
+    from sparkloom.operators import tree
+
+    asked = []
+    nodes = tree.nodes(spark, [{"url": f"https://h/{i}"} for i in range(30)])
+
+    def get(url):
+        asked.append(url)
+        return (404 if url.endswith("7") else 200), "text/html", "x"
+
+    found = tree.unreachable(nodes, get, 30, 0.0, lambda s: None).collect()
+    assert {(r.url, r.status) for r in found} == {(f"https://h/{i}", 404) for i in (7, 17, 27)}
+
+
+def test_edges_in_a_circle_are_refused(spark):
+    import pytest
+
+    from sparkloom.operators import tree
+
+    chain = spark.createDataFrame([(i, i - 1 if i else None) for i in range(9)], "n int, p int")
+    found = {(r.node, r.ancestor, r.distance) for r in tree.closure(chain, "n", "p").collect()}
+    assert found == {(i, j, i - j) for i in range(9) for j in range(i + 1)}
+    with pytest.raises(ValueError):
+        tree.closure(spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "n int, p int"), "n", "p")
+
+
+def test_search_of_zero_and_null_vectors(spark):
+    from sparkloom.operators import index
+
+    rows = [(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, [0.0, 2.0])]
+    vectors = spark.createDataFrame(rows, "vec_id int, embedding array<float>")
+    asked = vectors.withColumnRenamed("vec_id", "query_id")
+    for blocks in ({}, {"block": 2, "vector_block": 1}):
+        found = {(r.query_id, r.rank): (r.vec_id, round(r.distance, 6)) for r in index.nearest(asked, vectors, 2, **blocks).collect()}
+        assert found == {(1, 1): (1, 0.0), (1, 2): (2, 1.0), (2, 1): (1, 1.0), (2, 2): (2, 1.0), (4, 1): (4, 0.0), (4, 2): (1, 1.0)}
+
+
+def test_markers_split_over_many_chunks(spark):
+    from sparkloom.operators import evaluate
+
+    words = [f"w{i}" for i in range(400)]
+    chunks = spark.createDataFrame([("page", i, " ".join(words[3 * i : 3 * i + 3])) for i in range(133)], "page_key string, chunk_index int, content string")
+    groups = [("a", 0, "page", [" ".join(words[10:60])]), ("b", 0, "page", ["w5"]), ("c", 0, "page", ["w60 w59"]), ("d", 0, "other", []), ("e", 0, "page", ["w1 w2\nw3"]), ("f", 0, "pa", [])]
+    wanted = spark.createDataFrame(groups, "query_id string, group_index int, page_match string, markers array<string>")
+    for stretch in (evaluate.STRETCH, 17, 64):
+        found = {r.query_id: r.error for r in evaluate.fixture_errors(chunks, wanted, stretch).collect()}
+        assert found == {"a": "split", "c": "missing", "d": "missing", "e": "split"}
