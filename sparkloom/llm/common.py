@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import os
 import re
 import shutil
@@ -161,6 +162,15 @@ def row_name(docs: DataFrame) -> Column:
     return F.concat_ws(":", "_metadata.file_path", F.col("_metadata.row_index").cast("string"))
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker's allocators else keep it while other stages run."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 _held: dict[str, Callable[[], object]] = {}
 
 
@@ -169,6 +179,9 @@ def hold(name: str, release: Callable[[], object] = lambda: None) -> None:
 
     Workers outlive stages, so that an operator's caches would else take memory from all those after it.
     """
-    for other in [x for x in _held if x != name]:
+    others = [x for x in _held if x != name]
+    for other in others:
         _held.pop(other)()
     _held[name] = release
+    if others:
+        give_back()

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from sparkloom.llm.common import hold, slices, spread
+from sparkloom.llm.common import give_back, hold, slices, spread
 
 #: Documented bound of the fitted sample: rows a language.
 SAMPLE_A_LANGUAGE = 1500
@@ -406,5 +406,6 @@ def known_language(docs: DataFrame, model: LanguageModel, *, text_col: str = "te
                 columns = [*batch.columns[:filled], pc.coalesce(column, pa.array(names, column.type)), *batch.columns[filled + 1 :]]
                 batch = pa.RecordBatch.from_arrays(columns, schema=batch.schema)
             yield batch.filter(pa.array([n != "und" for n in names], pa.bool_()))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import hold, materialize, passing_tables
+from sparkloom.llm.common import give_back, hold, materialize, passing_tables
 
 WINDOW = 4096
 END_ID = 2
@@ -44,7 +44,7 @@ DENSE = 8
 #: Tokens of a shard, about. One document may be longer; it then is a shard of its own.
 SHARD_TOKENS = 1 << 21
 MAX_UNITS = 1_000_000
-UNITS_AT_ONCE, TEXT_AT_ONCE = 1 << 20, 8 << 20
+UNITS_AT_ONCE, TEXT_AT_ONCE = 1 << 20, 4 << 20
 LONG_UNIT = 200
 #: What often follows a word, none of it a letter, digit or apostrophe.
 ENDINGS = b".,;:!?*#$%&()[]|\"-"
@@ -365,6 +365,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str) -> DataFrame:
             terms = np.flatnonzero(df)
             counted = [pa.array([np.r_[DOCUMENTS, TOKENS, terms].astype(np.int32)], pa.list_(pa.int32())), pa.array([np.r_[n, tokens, df[terms]]], pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int32()), pa.nulls(1, pa.int32()), pa.nulls(1, id_type), pa.nulls(1, pa.binary()), *counted], names)
+        give_back()
 
     return docs.mapInArrow(run, schema)
 
@@ -419,6 +420,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_i
                     gathered, tokens = [], 0
         if gathered:
             yield emit()
+        gathered = []
+        give_back()
 
     near = ids.where("ids IS NOT NULL").select("first", "second", "doc_id", "ids", "row").hint("rebalance", "first").sortWithinPartitions("first", "second")
     return near.select("doc_id", "ids", "row").mapInArrow(pack, f"doc_id {id_type}, {PIECES}")
