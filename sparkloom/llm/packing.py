@@ -43,7 +43,7 @@ LOOK = 32
 DENSE = 8
 #: Tokens of a shard, about. One document may be longer; it then is a shard of its own.
 SHARD_TOKENS = 1 << 21
-MAX_UNITS = 1_000_000
+MAX_UNITS, MAX_WORDS = 700_000, 300_000
 UNITS_AT_ONCE, TEXT_AT_ONCE = 1 << 20, 4 << 20
 LONG_UNIT = 200
 #: What often follows a word, none of it a letter, digit or apostrophe.
@@ -128,7 +128,7 @@ class UnitTokenizer:
     def _new(self, units: set[bytes]) -> dict[bytes, bytes]:
         words = [w if len(w := u.rstrip(ENDINGS)) != len(u) and w[-1:].isalnum() else u for u in units]  # of bytes: an ASCII letter or digit
         rests = [u[len(w) :] for u, w in zip(units, words)]
-        if len(self.words) > MAX_UNITS:
+        if len(self.words) > MAX_WORDS:
             self.words = {}
         known = self.words
         fresh = {b"": b""} | self._encode(list(set(words).union(rests).difference(known, (b"",))))
