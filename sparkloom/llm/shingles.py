@@ -1,6 +1,9 @@
-"""Near-duplicates by word shingles: all pairs of texts whose shingle sets have a Jaccard similarity of at least 0.8.
+"""Near-duplicates by SimHash, verified and completed: all pairs of texts whose shingle sets have a Jaccard similarity of
+at least 0.8.
 
-Prefix filtering finds them all: with every set sorted by one order over all shingles, two sets that are similar enough
+SimHash comes first: fingerprints of the sets meet in op5's tables, and what lies within its reach is verified on whole
+sets. Similar texts may lie further apart than any reach that can be searched, so the pairs that these links don't connect
+are looked for by prefix filtering, which finds them all: with every set sorted by one order over all shingles, two sets that are similar enough
 share k shingles among the first n - ceil(0.8 n) + k of each (the first k that they have in common). Rows meet by those
 shingles; sizes and places discard pairs that can't reach the similarity, and so do meetings fewer than k; the others are
 verified on whole sets. Any order is exact; shingles that a sample finds
@@ -24,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.llm.common import attach, give_back, hold, materialize, passing_tables, spread
-from sparkloom.llm.simhash import SEED, connected_components
+from sparkloom.llm.simhash import SEED, connected_components, majority, near_links
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -67,6 +70,11 @@ def _lists(sets: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets) if sets else np.empty(0, np.int64)))
 
 
+def signed(x: int) -> int:
+    """The signed long of the same 64 bits."""
+    return x - (1 << 64) if x >> 63 else x
+
+
 def parity(own: np.ndarray) -> bytes:
     """Bitmap with a bit for each of BITS parts of the hashes, set where the set has an odd number of them."""
     return np.packbits(np.bincount(own.view(np.uint64) % np.uint64(BITS), minlength=BITS).astype(np.uint8) & 1).tobytes()
@@ -92,8 +100,8 @@ def _frequent(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefixes(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, node (hash of the whole set), size (of the set), bits (parity bitmap), prefix (first shingles in the common
-    order). A set that a task has seen before is named without bits and prefix."""
+    """doc_id, node (hash of the whole set), size (of the set), fp (its SimHash), bits (parity bitmap), prefix (first
+    shingles in the common order). A set that a task has seen before is named without fp, bits and prefix."""
     frequent = docs.sparkSession.sparkContext.broadcast(_frequent(docs, shingle))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,28 +111,30 @@ def prefixes(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILA
         often, counts = frequent.value
         seen: set[int] = set()
         for batch in batches:
-            nodes, sizes, bits, firsts = [], [], [], []
+            nodes, sizes, fps, bits, firsts = [], [], [], [], []
             for t in batch.column(1):
                 own = shingle_set(t.as_py(), shingle)
                 nodes.append(xxhash.xxh64_intdigest(own.tobytes(), SEED))
                 sizes.append(len(own))
                 if nodes[-1] in seen:
+                    fps.append(None)
                     bits.append(None)
                     firsts.append(own[:0])
                     continue
                 seen.add(nodes[-1])
+                fps.append(signed(majority(own.astype(">i8"))))
                 bits.append(parity(own))
                 if len(often):
                     at = np.minimum(np.searchsorted(often, own), len(often) - 1)
                     own = own[np.argsort(np.where(often[at] == own, counts[at], 0), kind="stable")]
                 firsts.append(own[: sizes[-1] - int(_least(sizes[-1], similarity)) + int(_shared(sizes[-1], similarity))])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(bits, pa.binary()), _lists(firsts)],
-                ["doc_id", "node", "size", "bits", "prefix"],
+                [batch.column(0), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(fps, pa.int64()), pa.array(bits, pa.binary()), _lists(firsts)],
+                ["doc_id", "node", "size", "fp", "bits", "prefix"],
             )
         give_back()
 
-    return spread(docs).mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node long, size int, bits binary, prefix array<long>")
+    return spread(docs).mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node long, size int, fp long, bits binary, prefix array<long>")
 
 
 def _pairs(groups: tuple[np.ndarray, ...], similarity: float, reach: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
@@ -247,17 +257,38 @@ def _verified(pairs: DataFrame, prints: DataFrame, docs: DataFrame, shingle: int
     return pairs.join(left, "u").join(right, "v").where(common >= (F.size("a") + F.size("b") - common) * F.lit(similarity) - F.lit(SLACK)).select("u", "v")
 
 
+def simhash_links(prints: DataFrame, docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Links (u, v) of nodes whose fingerprints SimHash's tables bring together, those that are similar enough."""
+    own = materialize(prints.where("fp IS NOT NULL").select("fp", "node").distinct(), "fps")
+    first = materialize(own.groupBy("fp").agg(F.min("node").alias("node")), "first")
+    side = lambda n: first.select(F.col("fp").alias("fp_" + n), F.col("node").alias(n))
+    met = near_links(first.select("fp")).select(F.col("u").alias("fp_u"), F.col("v").alias("fp_v")).distinct()
+    near = met.join(side("u"), "fp_u").join(side("v"), "fp_v").select("u", "v")
+    equal = own.select("fp", F.col("node").alias("u")).join(first.select("fp", F.col("node").alias("v")), "fp").where("u <> v").select("u", "v")
+    return _verified(materialize(near.unionByName(equal), "candidates"), prints, docs, shingle, similarity)
+
+
+def _unconnected(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs (u, v) of which no component has both."""
+    side = lambda n: roots.select(F.col("node").alias(n), F.col("root").alias("root_" + n))
+    both = pairs.join(side("u"), "u", "left").join(side("v"), "v", "left")
+    return both.where(F.coalesce("root_u", "u") != F.coalesce("root_v", "v")).select("u", "v")
+
+
 def similar_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, component_id: components of all pairs of rows whose shingle sets are similar enough."""
     source = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     with passing_tables() as kept:
         prints = materialize(prefixes(source, shingle, similarity), "prefixes")
+        found = materialize(simhash_links(prints, source, shingle, similarity), "simhash")
+        known = connected_components(found)
         rows = prints.select("node", "size", F.posexplode("prefix").alias("pos", "key")).select("key", "node", "size", "pos")
         met = materialize(
             rows.repartition("key").sortWithinPartitions("key", "size", "node").mapInArrow(_first_round(similarity), "u long, v long, needed int, n int, key long, size int, pos int"), "met"
         )
         pairs = materialize(_enough(met.where("key IS NULL")), "pairs")
-        links = materialize(_verified(pairs.where("n >= needed").select("u", "v"), prints, source, shingle, similarity), "links")
+        more = _unconnected(pairs.where("n >= needed").select("u", "v"), known)
+        links = materialize(found.unionByName(_verified(more, prints, source, shingle, similarity)), "links")
         large = met.where("key IS NOT NULL")
         if not large.isEmpty():
             roots = connected_components(links)

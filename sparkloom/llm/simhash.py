@@ -43,8 +43,12 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     if len(words) < shingle:
         return xxhash.xxh64_intdigest(b" ".join(words), SEED)
     grams = map(b" ".join, zip(*(words[i:] for i in range(shingle))))
-    n = len(words) - shingle + 1
-    h = np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), dtype=">u8", count=n)
+    return majority(np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), dtype=">u8", count=len(words) - shingle + 1))
+
+
+def majority(h: np.ndarray) -> int:
+    """The bits that over half of the hashes (big-endian) have."""
+    n = len(h)
     ones = np.zeros(64, np.int64)
     for i in range(0, n, HASHES_AT_ONCE):
         ones += np.unpackbits(h[i : i + HASHES_AT_ONCE].view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
