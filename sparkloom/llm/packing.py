@@ -43,8 +43,9 @@ LOOK = 32
 DENSE = 8
 #: Tokens of a shard, about. One document may be longer; it then is a shard of its own.
 SHARD_TOKENS = 1 << 21
-MAX_UNITS, MAX_WORDS = 700_000, 300_000
-UNITS_AT_ONCE, TEXT_AT_ONCE = 1 << 20, 4 << 20
+MAX_UNITS, MAX_WORDS = 250_000, 500_000
+#: Units laid out, words encoded and bytes of text taken at once: they bound what a task needs beside its caches.
+UNITS_AT_ONCE, WORDS_AT_ONCE, TEXT_AT_ONCE = 1 << 17, 1 << 15, 4 << 20
 LONG_UNIT = 200
 #: What often follows a word, none of it a letter, digit or apostrophe.
 ENDINGS = b".,;:!?*#$%&()[]|\"-"
@@ -99,12 +100,14 @@ class UnitTokenizer:
         numbered = split.flatten().cast(pa.binary()).dictionary_encode()
         if len(self.units) > MAX_UNITS:
             self.units.clear()
-        distinct = numbered.dictionary.to_pylist()
-        new = self._new(set(distinct).difference(self.units))
-        self.units.update(new)
-        own = list(map(self.units.__getitem__, distinct))
-        for u in [u for u in new if len(u) > LONG_UNIT]:
-            del self.units[u]
+        distinct = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()  # bytes, far faster than to_pylist
+        own = list(map(self.units.get, distinct))
+        if unknown := [u for u, known in zip(distinct, own) if known is None]:
+            new = self._new(unknown)
+            own = [new[u] if known is None else known for u, known in zip(distinct, own)]
+            self.units.update(new)
+            for u in [u for u in unknown if len(u) > LONG_UNIT]:
+                del self.units[u]
         ids = np.frombuffer(b"".join(own), self.kind)
         lengths = np.fromiter(map(len, own), np.int64, len(own)) // np.dtype(self.kind).itemsize
         starts = np.cumsum(lengths) - lengths
@@ -125,7 +128,7 @@ class UnitTokenizer:
                     doc += 1
                 held, at = [flat[ends[doc] - at :]], int(ends[doc])
 
-    def _new(self, units: set[bytes]) -> dict[bytes, bytes]:
+    def _new(self, units: list[bytes]) -> dict[bytes, bytes]:
         words = [w if len(w := u.rstrip(ENDINGS)) != len(u) and w[-1:].isalnum() else u for u in units]  # of bytes: an ASCII letter or digit
         rests = [u[len(w) :] for u, w in zip(units, words)]
         if len(self.words) > MAX_WORDS:
@@ -152,13 +155,16 @@ class UnitTokenizer:
                 keys.append(w)
             else:
                 other.append(w)
-        found = self._parted(other if self.plain else words)
-        if plain:
-            (encoded,) = self.plain.encode_batch_fast([" ".join(plain)], add_special_tokens=False)
+        found: dict[bytes, bytes] = {}
+        rest = other if self.plain else words
+        for at in range(0, len(rest), WORDS_AT_ONCE):
+            found.update(self._parted(rest[at : at + WORDS_AT_ONCE]))
+        for at in range(0, len(plain), WORDS_AT_ONCE):
+            (encoded,) = self.plain.encode_batch_fast([" ".join(plain[at : at + WORDS_AT_ONCE])], add_special_tokens=False)
             ids = np.array(encoded.ids, self.kind)
             cuts = [0, *((np.flatnonzero(self.ends_word[ids]) + 1) * ids.itemsize).tolist()]
             raw = ids.tobytes()
-            found.update(zip(keys, [raw[a:b] for a, b in zip(cuts, cuts[1:])], strict=True))
+            found.update(zip(keys[at : at + WORDS_AT_ONCE], [raw[a:b] for a, b in zip(cuts, cuts[1:])], strict=True))
         return found
 
     def _parted(self, words: list[bytes]) -> dict[bytes, bytes]:

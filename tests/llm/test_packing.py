@@ -7,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from sparkloom.llm import packing
 from sparkloom.llm.packing import END_ID, Bm25Shard, UnitTokenizer, corpus_of, corpus_statistics, pack_documents, tokenized
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -117,3 +118,17 @@ def test_copies_meet_in_a_shard(spark):
     df = spark.createDataFrame([(i, texts[i % 150]) for i in range(300)], "doc_id long, text string").repartition(3)
     first = {r.doc_id: r.sequence_id for r in pack_documents(df, PATH, window=512, shard_tokens=4000).where("start = 0").collect()}
     assert sum(abs(first[i] - first[i + 150]) <= 1 for i in range(150)) >= 140
+
+
+def test_new_words_are_encoded_in_bounded_parts(monkeypatch):
+    """A batch of new words isn't handed to the library at once; ids stay those of whole texts, and long units aren't kept."""
+    monkeypatch.setattr(packing, "WORDS_AT_ONCE", 3, raising=False)
+    monkeypatch.setattr(packing, "UNITS_AT_ONCE", 4)
+    own, sizes = UnitTokenizer(PATH), []
+    parted = own._parted
+    monkeypatch.setattr(own, "_parted", lambda words: sizes.append(len(words)) or parted(words))
+    texts = [" ".join(f"{w}{i} {w}{'xyz'[i % 3]}, größe{w} 日本{i}!" for i in range(9)) for w in ("one", "Two", "l" * 250)] + [None, ""]
+    assert [x.tolist() for x in own.each(texts)] == [library(t) for t in texts]
+    assert [x.tolist() for x in own.each(texts[::-1])] == [library(t) for t in texts[::-1]]
+    assert len(sizes) > 3 and max(sizes) <= 3
+    assert not [u for u in own.units if len(u) > packing.LONG_UNIT]
