@@ -46,6 +46,8 @@ SHARD_TOKENS = 1 << 21
 MAX_UNITS, MAX_WORDS = 250_000, 500_000
 #: Units laid out, words encoded and bytes of text taken at once: they bound what a task needs beside its caches.
 UNITS_AT_ONCE, WORDS_AT_ONCE, TEXT_AT_ONCE = 1 << 17, 1 << 15, 4 << 20
+#: After so many of these texts a task gives freed memory back.
+GIVE_BACK_EACH = 4
 LONG_UNIT = 200
 #: What often follows a word, none of it a letter, digit or apostrophe.
 ENDINGS = b".,;:!?*#$%&()[]|\"-"
@@ -79,6 +81,8 @@ class UnitTokenizer:
         self.kind = "<u2" if self.vocabulary <= 1 << 16 else "<u4"
         self.ends_word = np.zeros(max(parts["model"]["vocab"].values()) + 1, bool)
         self.ends_word[[i for token, i in parts["model"]["vocab"].items() if suffix and token.endswith(suffix)]] = True
+        del parts
+        give_back()
 
     def ids(self, text: str | None, end: int | None = END_ID) -> np.ndarray:
         return next(self.each([text], end))
@@ -330,7 +334,11 @@ DOCUMENTS, TOKENS = -1, -2
 
 
 def by_size(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches cut where their texts (second column) exceed TEXT_AT_ONCE bytes; a longer text is alone."""
+    """Batches cut where their texts (second column) exceed TEXT_AT_ONCE bytes; a longer text is alone.
+
+    What the parts' consumer has freed is given back to the system after every GIVE_BACK_EACH of them.
+    """
+    parts = 0
     for batch in batches:
         total = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         at = 0
@@ -338,7 +346,9 @@ def by_size(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             before = int(total[at - 1]) if at else 0
             end = max(at + 1, int(np.searchsorted(total, before + TEXT_AT_ONCE, side="right")))
             yield batch.slice(at, end - at)
-            at = end
+            at, parts = end, parts + 1
+            if parts % GIVE_BACK_EACH == 0:
+                give_back()
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str) -> DataFrame:
@@ -367,6 +377,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str) -> DataFrame:
             first, second = zip(*leads) if leads else ((), ())
             nothing = [pa.nulls(len(found), pa.list_(pa.int32())), pa.nulls(len(found), pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([pa.array(first, pa.int32()), pa.array(second, pa.int32()), batch.column(0), pa.array(found, pa.binary()), *nothing], names)
+            del found, leads, nothing
         if n:
             terms = np.flatnonzero(df)
             counted = [pa.array([np.r_[DOCUMENTS, TOKENS, terms].astype(np.int32)], pa.list_(pa.int32())), pa.array([np.r_[n, tokens, df[terms]]], pa.list_(pa.int64()))]

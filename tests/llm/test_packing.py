@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -132,3 +133,13 @@ def test_new_words_are_encoded_in_bounded_parts(monkeypatch):
     assert [x.tolist() for x in own.each(texts[::-1])] == [library(t) for t in texts[::-1]]
     assert len(sizes) > 3 and max(sizes) <= 3
     assert not [u for u in own.units if len(u) > packing.LONG_UNIT]
+
+
+def test_memory_is_given_back_during_a_task(monkeypatch):
+    monkeypatch.setattr(packing, "TEXT_AT_ONCE", 10)
+    given = []
+    monkeypatch.setattr(packing, "give_back", lambda: given.append(1))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(9)), pa.array(["x" * 8] * 9)], ["doc_id", "text"])
+    parts = list(packing.by_size(iter([batch, batch])))
+    assert [p.num_rows for p in parts] == [1] * 18
+    assert len(given) == 18 // packing.GIVE_BACK_EACH
