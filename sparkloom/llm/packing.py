@@ -22,6 +22,7 @@ import os
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import compress, repeat
 from operator import itemgetter
 from typing import NamedTuple
 
@@ -43,22 +44,40 @@ LOOK = 32
 DENSE = 8
 #: Tokens of a shard, about. One document may be longer; it then is a shard of its own.
 SHARD_TOKENS = 1 << 21
-MAX_UNITS, MAX_WORDS = 250_000, 500_000
+#: Words a worker remembers. Beyond them those that it met longest ago go, down to KEPT_WORDS.
+MAX_WORDS, KEPT_WORDS = 700_000, 525_000
 #: Units laid out, words encoded and bytes of text taken at once: they bound what a task needs beside its caches.
 UNITS_AT_ONCE, WORDS_AT_ONCE, TEXT_AT_ONCE = 1 << 17, 1 << 15, 4 << 20
 #: After so many of these texts a task gives freed memory back.
 GIVE_BACK_EACH = 4
 LONG_UNIT = 200
 #: What often follows a word, none of it a letter, digit or apostrophe.
-ENDINGS = b".,;:!?*#$%&()[]|\"-"
+ENDINGS = ".,;:!?*#$%&()[]|\"-"
+#: Which bytes are ASCII letters or digits, and which are lower-case ASCII letters.
+ALNUM, LOWER = (np.array([c < 128 and chr(c).isalnum() for c in range(256)]), np.array([97 <= c <= 122 for c in range(256)]))
+
+
+def laid_out(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and bytes of a binary column."""
+    if not len(column):
+        return np.zeros(1, np.int64), np.empty(0, np.uint8)
+    kind = np.dtype(np.int64 if pa.types.is_large_binary(column.type) else np.int32)
+    _, offsets, data = column.buffers()
+    return np.frombuffer(offsets, kind, len(column) + 1, column.offset * kind.itemsize), np.frombuffer(data or b"", np.uint8)
+
+
+def spans(cuts: np.ndarray, data: np.ndarray) -> pa.LargeBinaryArray:
+    """The bytes of ``data`` between each cut and the next."""
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
 
 
 class UnitTokenizer:
     """Ids of whole texts, from those of their ASCII-space-separated units, which the tokenizer never joins.
 
     A unit is a word with what follows it: the tokenizer cuts between a letter or digit and punctuation, so words and
-    their endings are looked up apart where the unit is new. Upper-case ASCII is lowered first, as the tokenizer
-    does, save where a special token's string could come of it.
+    their endings are looked up apart. Upper-case ASCII is lowered first, as the tokenizer does, save where a special
+    token's string could come of it. Units and words are told apart and joined as Arrow columns; only a column's
+    distinct words meet the dictionary of those remembered, and only new ones the tokenizer.
     """
 
     def __init__(self, path: str) -> None:
@@ -68,8 +87,10 @@ class UnitTokenizer:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.units: dict[bytes, bytes] = {}
-        self.words: dict[bytes, bytes] = {}
+        # words and endings remembered, in order: their places in ``found``, and the column that last had each
+        self.units: dict[bytes, int] = {b"": 0}
+        self.found = pa.array([b""], pa.large_binary())
+        self.used, self.column = np.zeros(1, np.int64), 0
         with open(path, encoding="utf-8") as f:
             parts = json.load(f)
         # the same model for words that normalising and splitting leave as they are
@@ -102,87 +123,110 @@ class UnitTokenizer:
         lowered = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
         split = pc.ascii_split_whitespace(lowered)
         numbered = split.flatten().cast(pa.binary()).dictionary_encode()
-        if len(self.units) > MAX_UNITS:
-            self.units.clear()
-        distinct = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()  # bytes, far faster than to_pylist
-        own = list(map(self.units.get, distinct))
-        if unknown := [u for u, known in zip(distinct, own) if known is None]:
-            new = self._new(unknown)
-            own = [new[u] if known is None else known for u, known in zip(distinct, own)]
-            self.units.update(new)
-            for u in [u for u in unknown if len(u) > LONG_UNIT]:
-                del self.units[u]
-        ids = np.frombuffer(b"".join(own), self.kind)
-        lengths = np.fromiter(map(len, own), np.int64, len(own)) // np.dtype(self.kind).itemsize
-        starts = np.cumsum(lengths) - lengths
-        words = numbered.indices.to_numpy(zero_copy_only=False)
+        own = self._units(numbered.dictionary)
+        words = numbered.indices
         edges = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))])
-        ends = np.concatenate([[0], np.cumsum(lengths[words])])[edges]  # of each text's ids
+        ends = np.concatenate([[0], np.cumsum(np.diff(laid_out(own)[0])[words.to_numpy(zero_copy_only=False)])])[edges].tolist()  # of each text's ids, in bytes
         doc, held, at = 0, [], 0
         for k in range(0, max(1, len(words)), UNITS_AT_ONCE):
-            part = words[k : k + UNITS_AT_ONCE]
-            n = lengths[part]
-            before = np.cumsum(n) - n
-            held.append(ids[np.repeat(starts[part] - before, n) + np.arange(int(n.sum()))])
+            cuts, data = laid_out(own.take(words.slice(k, UNITS_AT_ONCE)))
+            held.append(data[cuts[0] : cuts[-1]])
             have = at + sum(map(len, held))
             if doc < len(texts) and ends[doc + 1] <= have:
-                flat = np.concatenate(held) if len(held) > 1 else held[0]
+                flat = b"".join(held)
                 while doc < len(texts) and ends[doc + 1] <= have:
-                    yield flat[ends[doc] - at : ends[doc + 1] - at].tobytes() + tail
+                    yield flat[ends[doc] - at : ends[doc + 1] - at] + tail
                     doc += 1
-                held, at = [flat[ends[doc] - at :]], int(ends[doc])
-
-    def _new(self, units: list[bytes]) -> dict[bytes, bytes]:
-        words = [w if len(w := u.rstrip(ENDINGS)) != len(u) and w[-1:].isalnum() else u for u in units]  # of bytes: an ASCII letter or digit
-        rests = [u[len(w) :] for u, w in zip(units, words)]
-        if len(self.words) > MAX_WORDS:
-            self.words = {}
-        known = self.words
-        fresh = {b"": b""} | self._encode(list(set(words).union(rests).difference(known, (b"",))))
-        known.update(fresh)
-        found = {u: known[w] + known[r] for u, w, r in zip(units, words, rests)}
-        for w in [w for w in fresh if len(w) > LONG_UNIT]:
-            del known[w]
-        return found
-
-    def _encode(self, words: list[bytes]) -> dict[bytes, bytes]:
+                held, at = [flat[ends[doc] - at :]], ends[doc]
+
+    def _units(self, units: pa.Array) -> pa.Array:
+        """Ids of distinct units: those of each one's word, then those of what follows it."""
+        trimmed = pc.ascii_rtrim(units.view(pa.string()), ENDINGS).cast(pa.binary())
+        cuts, data = laid_out(units)
+        begins, n, word = cuts[:-1].astype(np.int64), np.diff(cuts), np.diff(laid_out(trimmed)[0])
+        apart = word > 0
+        apart[apart] = ALNUM[data[(begins + word)[apart] - 1]]
+        word = np.where(apart, word, n)
+        rest_cuts = np.concatenate([[0], np.cumsum(n - word)])
+        rests = data[np.repeat(begins + word - rest_cuts[:-1], n - word) + np.arange(rest_cuts[-1])]
+        parts = pa.concat_arrays([pc.if_else(pa.array(apart), trimmed, units), spans(rest_cuts, rests).cast(pa.binary())]).dictionary_encode()
+        found = self._words(parts.dictionary)
+        return pc.binary_join_element_wise(found.take(parts.indices[: len(units)]), found.take(parts.indices[len(units) :]), pa.scalar(b"", pa.large_binary()))
+
+    def _words(self, words: pa.Array) -> pa.Array:
+        """Ids of distinct words and endings, which are remembered unless they are long."""
+        keys = words.to_numpy(zero_copy_only=False).tolist()  # bytes, far faster than to_pylist
+        places = np.fromiter(map(self.units.get, keys, repeat(-1)), np.int64, len(keys))
+        new = np.flatnonzero(places < 0)
+        self.column += 1
+        self.used[places[places >= 0]] = self.column
+        if not len(new):
+            return self.found.take(pa.array(places))
+        fresh = words.take(pa.array(new))
+        ids = self._encode(fresh)
+        places[new] = len(self.found) + np.arange(len(new))
+        result = pa.concat_arrays([self.found, ids]).take(pa.array(places))
+        short = np.diff(laid_out(fresh)[0]) <= LONG_UNIT
+        self._remember([keys[k] for k in new[short].tolist()], ids.filter(pa.array(short)))
+        return result
+
+    def _remember(self, keys: list[bytes], ids: pa.Array) -> None:
+        self.units.update(zip(keys, range(len(self.found), len(self.found) + len(keys))))
+        self.found = pa.concat_arrays([self.found, ids])
+        self.used = np.concatenate([self.used, np.full(len(keys), self.column)])
+        if len(self.units) > MAX_WORDS:
+            self.used[0] = self.column  # the empty word stays first
+            keep = np.zeros(len(self.used), bool)
+            keep[np.argsort(-self.used, kind="stable")[:KEPT_WORDS]] = True
+            self.units = dict(zip(compress(self.units, keep.tolist()), range(KEPT_WORDS)))
+            self.found, self.used = self.found.filter(pa.array(keep)), self.used[keep]
+
+    def _encode(self, words: pa.Array) -> pa.Array:
         """Ids of words: of lower-case Latin letters alone by the plain model, of all others by the library itself."""
+        cuts, data = laid_out(words)
+        ascii = np.diff(np.concatenate([[0], np.cumsum(~LOWER[data])])[cuts]) == 0 if self.plain else np.zeros(len(words), bool)
+        rows, other = [np.flatnonzero(ascii)], np.flatnonzero(~ascii)
         plain: list[str] = []
-        keys: list[bytes] = []
-        other: list[bytes] = []
-        for w in words if self.plain else ():
-            if w.isalpha() and w.islower():
-                plain.append(w.decode())
-                keys.append(w)
-            elif (t := w.decode("utf-8", "surrogatepass").lower()).isalpha() and max(t) < "\u0250":
+        plain_rows: list[int] = []
+        rest: list[bytes] = []
+        rest_rows: list[int] = []
+        for k, w in zip(other.tolist(), words.take(pa.array(other)).to_numpy(zero_copy_only=False).tolist()):
+            if self.plain and (t := w.decode("utf-8", "surrogatepass").lower()).isalpha() and max(t) < "\u0250":
                 plain.append(t)
-                keys.append(w)
+                plain_rows.append(k)
             else:
-                other.append(w)
-        found: dict[bytes, bytes] = {}
-        rest = other if self.plain else words
-        for at in range(0, len(rest), WORDS_AT_ONCE):
-            found.update(self._parted(rest[at : at + WORDS_AT_ONCE]))
+                rest.append(w)
+                rest_rows.append(k)
+        letters = words.take(pa.array(rows[0])).view(pa.string())
+        found = [pa.array([], pa.large_binary())]
+        for at in range(0, len(letters), WORDS_AT_ONCE):
+            own = letters.slice(at, WORDS_AT_ONCE)
+            found.append(self._plain_ids(pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), own), " ")[0].as_py(), len(own)))
         for at in range(0, len(plain), WORDS_AT_ONCE):
-            (encoded,) = self.plain.encode_batch_fast([" ".join(plain[at : at + WORDS_AT_ONCE])], add_special_tokens=False)
-            ids = np.array(encoded.ids, self.kind)
-            cuts = [0, *((np.flatnonzero(self.ends_word[ids]) + 1) * ids.itemsize).tolist()]
-            raw = ids.tobytes()
-            found.update(zip(keys[at : at + WORDS_AT_ONCE], [raw[a:b] for a, b in zip(cuts, cuts[1:])], strict=True))
-        return found
-
-    def _parted(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Words in one text, parted by spaces; its tokens' offsets tell whose they are."""
-        if not words:
-            return {}
+            own = plain[at : at + WORDS_AT_ONCE]
+            found.append(self._plain_ids(" ".join(own), len(own)))
+        found.extend(self._parted(rest[at : at + WORDS_AT_ONCE]) for at in range(0, len(rest), WORDS_AT_ONCE))
+        place = np.empty(len(words), np.int64)
+        place[np.concatenate([*rows, np.array(plain_rows, np.int64), np.array(rest_rows, np.int64)])] = np.arange(len(words))
+        return pa.concat_arrays(found).take(pa.array(place))
+
+    def _plain_ids(self, text: str, words: int) -> pa.Array:
+        """Ids of each of a text's words, by the plain model: each ends with a token that ends words."""
+        (encoded,) = self.plain.encode_batch_fast([text], add_special_tokens=False)
+        ids = np.array(encoded.ids, self.kind)
+        cuts = np.concatenate([[0], np.flatnonzero(self.ends_word[ids]) + 1])
+        if len(cuts) != words + 1:
+            raise ValueError(f"{len(cuts) - 1} words found of {words}")
+        return spans(cuts * ids.itemsize, ids)
+
+    def _parted(self, words: list[bytes]) -> pa.Array:
+        """Ids of each word, from one text where spaces part them; its tokens' offsets tell whose they are."""
         texts = [w.decode("utf-8", "surrogatepass") for w in words]
         encoded = self.library.encode(" ".join(texts), add_special_tokens=False)
         ids = np.array(encoded.ids, self.kind)
-        raw = ids.tobytes()
         begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
         offsets = np.fromiter(map(itemgetter(0), encoded.offsets), np.int64, len(ids))
-        cuts = (np.searchsorted(offsets, begins) * ids.itemsize).tolist()
-        return dict(zip(words, [raw[a:b] for a, b in zip(cuts, cuts[1:])]))
+        return spans(np.searchsorted(offsets, begins) * ids.itemsize, ids)
 
 
 @lru_cache(maxsize=4)
@@ -193,8 +237,10 @@ def unit_tokenizer(path: str) -> UnitTokenizer:
 def terms_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct ids, ascending, and how often each occurs."""
     own = np.sort(ids, kind="stable")
-    starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else np.empty(0, np.int64)
-    return own[starts].astype(np.int64), np.diff(np.r_[starts, len(own)])
+    edges = np.ones(len(own) + 1, bool)
+    np.not_equal(own[1:], own[:-1], out=edges[1:-1])
+    edges = np.flatnonzero(edges) if len(own) else np.zeros(1, np.int64)
+    return own[edges[:-1]].astype(np.int64), edges[1:] - edges[:-1]
 
 
 def leading(terms: np.ndarray, counts: np.ndarray, rarity: np.ndarray) -> tuple[int, int]:

@@ -143,3 +143,19 @@ def test_memory_is_given_back_during_a_task(monkeypatch):
     parts = list(packing.by_size(iter([batch, batch])))
     assert [p.num_rows for p in parts] == [1] * 18
     assert len(given) == 18 // packing.GIVE_BACK_EACH
+
+
+def test_words_in_use_are_encoded_once(monkeypatch):
+    """Words that keep coming, with other endings each time, outlast those that don't, and ids stay the library's."""
+    monkeypatch.setattr(packing, "MAX_WORDS", 60)
+    monkeypatch.setattr(packing, "KEPT_WORDS", 40, raising=False)
+    own, seen = UnitTokenizer(PATH), []
+    encode = own._encode
+    monkeypatch.setattr(own, "_encode", lambda words: seen.extend(w if isinstance(w, bytes) else w.as_py() for w in words) or encode(words))
+    often = ["steady", "größe", "日本", "it's", "x1"]
+    for k, ending in enumerate(["", ".", ",", "!?", ";", ":", "...", '"']):
+        texts = [" ".join([*(w + ending for w in often), *(f"{'abcdefgh'[k]}{a}{b}" for a in "klmnop" for b in "aeiou")]), None, "", " .. " + ending]
+        assert [x.tolist() for x in own.each(texts)] == [library(t) for t in texts]
+    assert len(set(seen)) > 200
+    assert [w for w in often if seen.count(w.encode()) != 1] == []
+    assert len(own.units) <= 60
