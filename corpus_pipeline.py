@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.llm import exact_dedup, langid, mixing, packing, shingles
-from sparkloom.llm.common import drop_tables, materialize, passing_tables, tables, with_row_id
+from sparkloom.llm.common import drop_tables, give_back_heaps, materialize, passing_tables, tables, with_row_id
 from sparkloom.llm.queries import tokenizer_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -74,7 +74,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of packed windows."""
+    """Pieces of packed windows. Its workers remember most of all stages', so the executors' heaps make room first."""
+    give_back_heaps(spark)
     return packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json"))
 
 

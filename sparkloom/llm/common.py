@@ -171,6 +171,16 @@ def give_back() -> None:
         pass
 
 
+def give_back_heaps(spark: SparkSession) -> None:
+    """Have each executor collect its garbage, by a task a core, and so return what its heap doesn't need to the system.
+
+    A heap that earlier stages made grow else stays as large beside the Python workers. Which executor a task goes to is
+    the scheduler's choice: one that gets none keeps its heap, and no result depends on it.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(0, cores, 1, cores).select(F.expr("reflect('java.lang.System', 'gc')").alias("gc")).write.format("noop").mode("append").save()
+
+
 _held: dict[str, Callable[[], object]] = {}
 
 

@@ -178,7 +178,9 @@ class UnitTokenizer:
             self.used[0] = self.column  # the empty word stays first
             keep = np.zeros(len(self.used), bool)
             keep[np.argsort(-self.used, kind="stable")[:KEPT_WORDS]] = True
-            self.units = dict(zip(compress(self.units, keep.tolist()), range(KEPT_WORDS)))
+            kept = list(compress(self.units, keep.tolist()))
+            self.units.clear()  # the old table goes before the new one is made
+            self.units.update(zip(kept, range(KEPT_WORDS)))
             self.found, self.used = self.found.filter(pa.array(keep)), self.used[keep]
 
     def _encode(self, words: pa.Array) -> pa.Array:

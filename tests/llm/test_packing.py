@@ -159,3 +159,14 @@ def test_words_in_use_are_encoded_once(monkeypatch):
     assert len(set(seen)) > 200
     assert [w for w in often if seen.count(w.encode()) != 1] == []
     assert len(own.units) <= 60
+
+
+def test_forgetting_needs_no_second_table(monkeypatch):
+    monkeypatch.setattr(packing, "MAX_WORDS", 70_000)
+    monkeypatch.setattr(packing, "KEPT_WORDS", 52_500)
+    tokenizer = UnitTokenizer(PATH)
+    tokenizer._remember([b"%d" % k for k in range(69_999)], packing.spans(np.arange(70_000) * 0, np.empty(0, np.uint8)))
+    before = tokenizer.units
+    tokenizer._remember([b"new"], packing.spans(np.zeros(2), np.empty(0, np.uint8)))
+    assert tokenizer.units is before and len(before) == 52_500
+    assert list(before.items())[:2] == [(b"", 0), (b"0", 1)] and set(before.values()) == set(range(52_500))

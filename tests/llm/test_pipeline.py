@@ -81,3 +81,12 @@ def test_only_decisions_are_left_behind(spark, rows, tmp_path):
         left = tables() - before
         assert [t.rsplit("/", 1)[1] for t in left] == ["dropped"]
         drop_tables(left)
+
+
+def test_packing_begins_with_small_heaps(spark, rows, tmp_path):
+    docs = write(spark, rows, str(tmp_path / "documents.parquet"))
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans
+    whole = lambda: sum(b.getCollectionCount() for b in beans() if "Young" not in b.getName() and "Concurrent" not in b.getName())
+    before = whole()
+    stage("packing")(spark, docs, "")
+    assert whole() > before
