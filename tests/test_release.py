@@ -96,6 +96,32 @@ def test_ties_go_to_the_smaller_id(spark):
     assert sorted((r.rank, r.vec_id) for r in found) == [(1, 0), (2, 1), (3, 2)]
 
 
+def test_a_block_is_searched_in_little_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    e = np.tile(rng.normal(size=(1500, 64)), (4, 1))  # four of each vector, which tie
+    table = pa.table({"id": pa.array(range(6000)), "e": pa.array(list(e)), "s": pa.array([""] * 6000)})
+    out = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("distance", pa.float64())])
+    tracemalloc.start()
+    found = index._block(table.slice(0, 700), table, 5, True, out)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6
+    by = {}
+    for q, v, d in zip(*(c.to_pylist() for c in found.columns)):
+        by.setdefault(q, []).append((d, v))
+    unit = e / np.linalg.norm(e, axis=1, keepdims=True)
+    d = 1 - unit[:700] @ unit.T
+    d[np.arange(700), np.arange(700)] = np.inf
+    for q in range(700):
+        near = sorted(by[q])
+        assert [v for _, v in near[:3]] == [q + 1500, q + 3000, q + 4500] and len({x for x, _ in near[:3]}) == 1
+        assert np.allclose([x for x, _ in near[:5]], np.sort(d[q])[:5])
+
+
 GROUPS = [("q1", 0, "Page One", ["<mark>", "other"]), ("q1", 1, "page-two", []), ("q2", 0, "page one", ["mark", "<other>"]), ("q3", 0, "nowhere", ["x"])]
 HITS = [("q1", 1, "http://x/page%2Done", "no", 0.2, "official", "c1"), ("q1", 2, "page_one", "has <mark>", 0.3, "companion", "c2"), ("q2", 1, "pageone", "a mark", 0.5, "official", "c3")]
 HIT = "query_id string, position int, page_key string, content string, distance double, source_type string, chunk_id string"
