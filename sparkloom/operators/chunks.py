@@ -14,6 +14,7 @@ from sparkloom.functions import columns as C
 from sparkloom.functions import header, html, markdown, splitter
 from sparkloom.functions.tokenizer import BUDGET, Counter, QuarterTokenizer
 from sparkloom.operators.rows import Row, flat_map, numbered, running_bytes, spread
+from sparkloom.session import written
 
 MIN_TOKENS = 100
 MAX_TOKENS = 1200
@@ -227,6 +228,7 @@ def span_chunk_pages(pages: DataFrame, tokenizer: Counter | None = None, *, elem
     """Exact-budget chunks of HTML pages. A page's record is its sections, heading line and text, blank lines between.
 
     Sections' places in their record are a running sum over small rows; text then goes through the splitter in place.
+    Sections and chunks are written down, since numbering reads its rows twice: a page is parsed and split once.
     """
     counter = tokenizer or QuarterTokenizer()
     crumb = F.col("breadcrumb")
@@ -238,7 +240,7 @@ def span_chunk_pages(pages: DataFrame, tokenizer: Counter | None = None, *, elem
         .withColumn("page_key", C.page_key(F.col("source_url"), stem)).withColumn("stem", stem)
         .withColumn("before", F.octet_length("heading") + 1).withColumn("taken", F.col("before") + F.octet_length("content_text") + 2)
     )
-    placed = running_bytes(named, "page_key", "taken", "file", "pos", name="ahead").withColumn("base", F.col("ahead") + F.col("before"))
+    placed = running_bytes(written(named, "sections"), "page_key", "taken", "file", "pos", name="ahead").withColumn("base", F.col("ahead") + F.col("before"))
 
     def parse(row: Row) -> Iterator[Row]:
         made = section_chunks(row["content_text"], heading=row["heading"], title=row["title"], breadcrumb="", source_type=OFFICIAL, base=row["base"], record=f"official:{row['page_key']}", path=row["file"], tokenizer=counter)
@@ -248,7 +250,7 @@ def span_chunk_pages(pages: DataFrame, tokenizer: Counter | None = None, *, elem
             yield chunk | {k: row[k] for k in ("file", "pos", "stem", "title", "breadcrumb", "source_url", "page_key")} | {"part": part, "section_heading": row["heading"]}
 
     made = flat_map(placed, parse, f"file string, pos int, part int, stem string, title string, section_heading string, breadcrumb string, source_url string, page_key string, content string, content_html string, token_estimate int, {schemas.SPAN_FIELDS}")
-    made = numbered(made.withColumn("place", F.struct("pos", "part")), "file", "place", name="ord")
+    made = numbered(written(made, "chunks").withColumn("place", F.struct("pos", "part")), "file", "place", name="ord")
     out = made.select(
         "file", "ord", C.chunk_id(F.col("stem"), F.col("ord")).alias("id"), *LABELS, C.category(crumb).alias("category"), "content", "content_html",
         "token_estimate", F.lit(OFFICIAL).alias("source_type"), F.lit(OFFICIAL).alias("verification_status"), *[F.lit("").alias(k) for k in BLANK_PROVENANCE], *(x.split()[0] for x in _SPAN_NAMES),
@@ -260,7 +262,7 @@ _SPAN_NAMES = ["source_record_id", "source_start_byte", "source_end_byte", "sour
 
 
 def span_chunk_markdown(files: DataFrame, tokenizer: Counter | None = None) -> DataFrame:
-    """Exact-budget chunks of verified Markdown files; byte spans are of the file."""
+    """Exact-budget chunks of verified Markdown files; byte spans are of the file. Chunks are written down, as numbering reads them twice."""
     counter = tokenizer or QuarterTokenizer()
 
     def parse(row: Row) -> Iterator[Row]:
@@ -279,7 +281,7 @@ def span_chunk_markdown(files: DataFrame, tokenizer: Counter | None = None) -> D
                 ord_ += 1
 
     made = flat_map(spread(files), parse, f"file string, ord int, title string, section_heading string, breadcrumb string, source_url string, page_key string, content string, content_html string, token_estimate int, upstream_repo string, upstream_commit string, raw_url string, latest_url string, {schemas.SPAN_FIELDS}")
-    out = made.select(
+    out = written(made, "chunks").select(
         "file", "ord", C.companion_chunk_id(F.col("file"), F.col("ord")).alias("id"), *LABELS, F.lit(COMPANION_CATEGORY).alias("category"), "content", "content_html",
         "token_estimate", F.lit(COMPANION).alias("source_type"), F.lit("companion_unverified").alias("verification_status"), "upstream_repo", "upstream_commit", F.col("file").alias("source_path"), "raw_url", "latest_url", *_SPAN_NAMES,
     )

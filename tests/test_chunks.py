@@ -105,3 +105,8 @@ def test_numbering_of_a_hot_key(spark):
     found = rows.numbered(spark.createDataFrame(data, "page_key string, file string, ord int"), "page_key", "file", "ord").collect()
     hot = sorted((r.file, r.ord, r.chunk_index) for r in found if r.page_key == "hot")
     assert [x[2] for x in hot] == list(range(100)) and [r.chunk_index for r in found if r.page_key == "cold"] == [0]
+
+
+def test_pages_and_files_are_split_once(pages, files):
+    for made in (K.span_chunk_pages(pages), K.span_chunk_markdown(files)):
+        assert made._jdf.queryExecution().executedPlan().toString().count("MapInArrow") <= 1

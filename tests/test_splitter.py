@@ -91,3 +91,13 @@ def test_any_text_tiles(pieces, budget):
         cut(text, budget)
     except UnsplittableError:
         pass
+
+
+def test_counts_of_spans():
+    import random
+
+    rng, counter = random.Random(3), QuarterTokenizer()
+    for _ in range(300):
+        text = "".join(rng.choice("abcdefé \n\x1c　") for _ in range(rng.randrange(25)))
+        count = counter.counter_of(text)
+        assert all(count(a, b) == counter.count(text[a:b]) for a in range(len(text) + 1) for b in range(len(text) + 1))
